@@ -12,22 +12,24 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-
 def grouped_quantiles(
-    df: DataFrame, keys, value: str, probs: dict, max_distinct: int = 1_000_000, ranges: int = 256
+    df: DataFrame, keys, value: str, probs: dict, weight: str = None,
+    max_distinct: int = 1_000_000, ranges: int = 256,
 ) -> DataFrame:
     """One row per group with linearly interpolated quantiles ``probs`` = {column: p} and ``n_values``.
 
-    ``max_distinct`` is the number of distinct values above which a group counts as large.
+    ``weight`` names a column with the number of copies of each row (all rows count once without
+    it). ``max_distinct`` is the number of distinct values above which a group counts as large.
     """
     keys = list(keys)
     gk = [f"_k{i}" for i in range(len(keys))] or ["_all"]
     base = df.filter(F.col(value).isNotNull()).select(
         *([F.col(k).alias(g) for k, g in zip(keys, gk)] or [F.lit(1).alias("_all")]),
         F.col(value).cast("double").alias("_v"),
+        (F.col(weight) if weight else F.lit(1)).cast("long").alias("_w"),
     )
     # Map-side combined: copies of a value collapse before the shuffle.
-    counts = base.groupBy(*gk, "_v").agg(F.count(F.lit(1)).alias("_n"))
+    counts = base.groupBy(*gk, "_v").agg(F.sum("_w").alias("_n"))
     large = (
         counts.groupBy(*gk)
         .agg(F.count(F.lit(1)).alias("_distinct"), F.sum("_n").alias("_total"))

@@ -17,14 +17,14 @@ def carry(
     """Add, for each output name, the last (or next) known value of an expression.
 
     ``ticks`` holds at most one row per (keys, time). ``last`` maps an output column to the
-    column whose latest known value at or before the row is wanted; ``next`` looks at or after
-    the row. The result keeps every row.
+    column whose latest known value at or before the row is wanted; ``next`` looks strictly
+    after the row. The result keeps every row.
     """
     keys, last, next = list(keys), last or {}, next or {}
     cut = ticks.withColumn("_chunk", F.date_trunc(chunk, F.col(time)))
     inside = Window.partitionBy(*keys, "_chunk").orderBy(time)
     back = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ahead = inside.rowsBetween(Window.currentRow, Window.unboundedFollowing)
+    ahead = inside.rowsBetween(1, Window.unboundedFollowing)
     local = cut.select(
         "*",
         *[F.last(c, ignorenulls=True).over(back).alias(f"_in_{o}") for o, c in last.items()],
