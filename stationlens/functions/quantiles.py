@@ -11,15 +11,18 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from stationlens.functions.sizes import is_small
+
 
 def grouped_quantiles(
     df: DataFrame, keys, value: str, probs: dict, weight: str = None,
-    max_distinct: int = 1_000_000, ranges: int = 256,
+    split: bool = None, max_distinct: int = 1_000_000, ranges: int = 256,
 ) -> DataFrame:
     """One row per group with linearly interpolated quantiles ``probs`` = {column: p} and ``n_values``.
 
     ``weight`` names a column with the number of copies of each row (all rows count once without
-    it). ``max_distinct`` is the number of distinct values above which a group counts as large.
+    it). ``split`` treats large groups apart; by default it does unless the whole input is small.
+    ``max_distinct`` is the number of distinct values above which a group counts as large.
     """
     keys = list(keys)
     gk = [f"_k{i}" for i in range(len(keys))] or ["_all"]
@@ -28,6 +31,10 @@ def grouped_quantiles(
         F.col(value).cast("double").alias("_v"),
         (F.col(weight) if weight else F.lit(1)).cast("long").alias("_w"),
     )
+    names, ps = list(probs), [float(p) for p in probs.values()]
+    if split is False or (split is None and is_small(df)):
+        out = _percentiles(base, gk, names, ps, "_w")
+        return out.select(*[F.col(g).alias(k) for k, g in zip(keys, gk)], *names, "n_values")
     # Map-side combined: copies of a value collapse before the shuffle.
     counts = base.groupBy(*gk, "_v").agg(F.sum("_w").alias("_n"))
     large = (
@@ -35,23 +42,20 @@ def grouped_quantiles(
         .agg(F.count(F.lit(1)).alias("_distinct"), F.sum("_n").alias("_total"))
         .filter(F.col("_distinct") > max_distinct)
     )
-    names, ps = list(probs), [float(p) for p in probs.values()]
-
     flat = large.select(*[F.col(g).alias(f"_l{g}") for g in gk])
     on = reduce(lambda a, b: a & b, [F.col(g).eqNullSafe(F.col(f"_l{g}")) for g in gk])
-    small = (
-        counts.join(flat, on, "left_anti")
-        .groupBy(*gk)
-        .agg(
-            F.percentile("_v", F.array(*[F.lit(p) for p in ps]), F.col("_n")).alias("_q"),
-            F.sum("_n").alias("n_values"),
-        )
-        .select(*gk, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "n_values")
-    )
+    small = _percentiles(counts.join(flat, on, "left_anti"), gk, names, ps, "_n")
     out = small.unionByName(_large_quantiles(counts, large, gk, names, ps, ranges))
     return out.select(*[F.col(g).alias(k) for k, g in zip(keys, gk)], *names, "n_values")
 
 
+def _percentiles(rows, gk, names, ps, weight):
+    agg = rows.groupBy(*gk).agg(
+        F.percentile("_v", F.array(*[F.lit(p) for p in ps]), F.col(weight)).alias("_q"), F.sum(weight).alias("n_values")
+    )
+    return agg.select(*gk, *[F.col("_q")[i].alias(n) for i, n in enumerate(names)], "n_values")
+
+
 def _large_quantiles(counts, large, gk, names, ps, ranges):
     """Quantiles of the groups in ``large`` by range cut and local ranking."""
     wanted = large.select(*[F.col(g).alias(f"_l{g}") for g in gk], "_total")

@@ -1,0 +1,20 @@
+"""Size of what a DataFrame reads, for choosing between a plain and a split plan."""
+
+from pyspark.sql import DataFrame
+
+SMALL_INPUT_BYTES = 128 * 1024 * 1024
+
+
+def input_bytes(df: DataFrame):
+    """Bytes of all tables below ``df`` as Spark knows them, or None where it does not say."""
+    try:
+        leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+    except Exception:
+        return None
+
+
+def is_small(df: DataFrame, limit: int = SMALL_INPUT_BYTES) -> bool:
+    """True only if the input is known to be no more than a scan partition or so."""
+    size = input_bytes(df)
+    return size is not None and size <= limit

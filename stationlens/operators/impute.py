@@ -7,6 +7,7 @@ from stationlens import schema as S
 from stationlens.functions.columns import upper_name
 from stationlens.functions.quantiles import attach_scalar, grouped_quantiles, join_on
 from stationlens.operators.carry import carry
+from stationlens.session import checkpointed
 
 SERIES = ["sensor_id", "magnitude_name"]
 TICK = [*SERIES, "entry_date"]
@@ -35,33 +36,31 @@ def mask_original_missing(df: DataFrame) -> DataFrame:
     )
 
 
-def _means(masked):
-    """Series, variable and overall means, each rolled up from the one below."""
-    v = "value_original_missing"
-    series = masked.groupBy(*SERIES).agg(F.sum(v).alias("_s"), F.count(v).alias("_n"))
-    variable = series.groupBy("magnitude_name").agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
-    overall = variable.agg(F.sum("_s").alias("_s"), F.sum("_n").alias("_n"))
-    mean = F.try_divide(F.col("_s"), F.col("_n"))
-    return (
-        series.select(*SERIES, mean.alias("_mean_series")),
-        variable.select("magnitude_name", mean.alias("_mean_variable")),
-        overall.select(mean.alias("_mean_all")),
-    )
-
+def _central_values(masked, medians, **opts):
+    """Mean and (if asked) exact median per series, variable and overall, from one pass.
 
-def _medians(masked, **opts):
-    """Exact medians at three levels, from counts per value rolled up level by level."""
+    Values are counted per series first and the three groupings are made from the counts. The
+    result has one row per series, variable and one for all, so it is written to a checkpoint and
+    joined three times instead of being computed three times.
+    """
     v = "value_original_missing"
-    by_series = masked.filter(F.col(v).isNotNull()).groupBy(*SERIES, v).agg(F.count(F.lit(1)).alias("_w"))
-    by_variable = by_series.groupBy("magnitude_name", v).agg(F.sum("_w").alias("_w"))
-    by_value = by_variable.groupBy(v).agg(F.sum("_w").alias("_w"))
-    out = []
-    for counts, keys, name in (
-        (by_series, SERIES, "_median_series"), (by_variable, ["magnitude_name"], "_median_variable"), (by_value, [], "_median_all"),
-    ):
-        out.append(grouped_quantiles(counts, keys, v, {name: 0.5}, weight="_w", **opts).drop("n_values"))
-    overall = out[2].agg(F.first("_median_all").alias("_median_all"))  # one row also without any value
-    return out[0], out[1], overall
+    counted = masked.filter(F.col(v).isNotNull()).groupBy(*SERIES, v).agg(F.count(F.lit(1)).alias("_w"))
+    tall = counted.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in range(3)]))).select(
+        "_level", v, "_w", F.when(F.col("_level") == 0, F.col("sensor_id")).alias("sensor_id"),
+        F.when(F.col("_level") <= 1, F.col("magnitude_name")).alias("magnitude_name"),
+    )
+    keys = ["_level", *SERIES]
+    stats = tall.groupBy(*keys).agg(F.try_divide(F.sum(F.col(v) * F.col("_w")), F.sum("_w")).alias("_mean"))
+    if medians:
+        q = grouped_quantiles(tall, keys, v, {"_median": 0.5}, weight="_w", **opts).drop("n_values")
+        stats = join_on(stats, q, keys)
+    stats = checkpointed(stats)
+    named = lambda level, suffix, *by: stats.filter(F.col("_level") == level).select(
+        *by, *[F.col(c).alias(f"{c}_{suffix}") for c in stats.columns if c in ("_mean", "_median")]
+    )
+    every = named(2, "all")
+    overall = every.agg(*[F.first(c).alias(c) for c in every.columns])  # one row also without any value
+    return named(0, "series", *SERIES), named(1, "variable", "magnitude_name"), overall
 
 
 def _fills(masked, methods, chunk, **opts):
@@ -77,12 +76,8 @@ def _fills(masked, methods, chunk, **opts):
     if local:
         ticks = carry(ticks, SERIES, "entry_date", last={"_prev": "_latest"}, next={"_next": "_earliest"}, chunk=chunk)
     out = ticks.filter("_gaps > 0")
-    if "imputed_grouped_mean" in methods:
-        a, b, c = _means(masked)
-        out = attach_scalar(join_on(join_on(out, a, SERIES), b, ["magnitude_name"]), c)
-    if local or "imputed_grouped_median" in methods:
-        a, b, c = _medians(masked, **opts)
-        out = attach_scalar(join_on(join_on(out, a, SERIES), b, ["magnitude_name"]), c)
+    a, b, c = _central_values(masked, bool(local) or "imputed_grouped_median" in methods, **opts)
+    out = attach_scalar(join_on(join_on(out, a, SERIES), b, ["magnitude_name"]), c)
     both = (F.col("_prev") + F.col("_next")) / 2 if local else None
     chains = {
         "imputed_grouped_mean": ["_mean_series", "_mean_variable", "_mean_all"],
@@ -172,13 +167,20 @@ def _error_table(comparison, keys, full, **opts):
         F.sqrt(weighted(F.col("error") * F.col("error"))).alias("rmse"),
         F.max("abs_error").alias("max_absolute_error"),
     )
-    median_abs = grouped_quantiles(counted, by, "abs_error", {"median_absolute_error": 0.5}, weight="_w", **opts).drop("n_values")
-    out = join_on(base, median_abs, by)
+    # Both medians come from one quantile computation: the measure is part of the group key.
+    wanted = ["abs_error", "error"] if full else ["abs_error"]
+    tall = counted.select(
+        *by, "_w", F.explode(F.array(*[F.struct(F.lit(c).alias("measure"), F.col(c).alias("v")) for c in wanted])).alias("r")
+    ).select(*by, "_w", "r.*")
+    q = grouped_quantiles(tall, [*by, "measure"], "v", {"m": 0.5}, weight="_w", **opts).groupBy(*by).agg(
+        F.max(F.when(F.col("measure") == "abs_error", F.col("m"))).alias("median_absolute_error"),
+        F.max(F.when(F.col("measure") == "error", F.col("m"))).alias("median_error"),
+    )
+    out = join_on(base, q, by)
     head = [*keys, "method", F.try_element_at(_labels(), F.col("method")).alias("method_label"), "n_compared_rows", "mean_error"]
     if not full:
         return out.select(*head, "mae", "median_absolute_error", "rmse").orderBy(*keys, "mae", "method")
-    median = grouped_quantiles(counted, by, "error", {"median_error": 0.5}, weight="_w", **opts).drop("n_values")
-    return join_on(out, median, by).select(
+    return out.select(
         *head, "median_error", "mae", "median_absolute_error", "rmse", "max_absolute_error", F.lit(NOTE).alias("note")
     ).orderBy("mae", "method")
 

@@ -3,6 +3,7 @@
 from stationlens import schema as S
 from stationlens.operators import impute as I
 from stationlens.plans.base import check_sql, present
+from stationlens.plans.store import stored
 from stationlens.plans.stage_load import daily
 from stationlens.plans.stage_quality import flagged
 
@@ -16,7 +17,8 @@ def _one(fn, col):
 
 
 def imputed(spark, sf):
-    return I.impute_all(flagged(spark, sf))
+    """Readings with all five imputed columns, written once for the comparisons."""
+    return stored(spark, sf, "imputed", lambda s, d: I.impute_all(flagged(s, d)))
 
 
 def comparison(spark, sf):
@@ -32,7 +34,7 @@ QUERIES = {
     "impute_ffill": _one(I.impute_ffill, "imputed_ffill"),
     "impute_bfill": _one(I.impute_bfill, "imputed_bfill"),
     "impute_last_next": _one(I.impute_last_next, "imputed_last_next"),
-    "impute_all": lambda s, d: imputed(s, d).select(*_ALL),
+    "impute_all": lambda s, d: I.impute_all(flagged(s, d)).select(*_ALL),
     "compare_imputations": comparison,
     "imputation_error_summary": lambda s, d: I.imputation_error_summary(comparison(s, d)),
     "imputation_errors_by_type": lambda s, d: I.imputation_errors_by_type(comparison(s, d)),
@@ -106,7 +108,7 @@ CHECKS = {
         WHERE magnitude_name IN (SELECT magnitude_name FROM compared WHERE variable_type = 'pollutant' GROUP BY 1 HAVING count(*) >= 50) GROUP BY 1, 2 HAVING count(*) >= 10 AND count(DISTINCT x) >= 2),
       g AS (SELECT *, lo - (hi - lo) / 2 + point * ((hi - lo) * 2 / 999) AS gx FROM (SELECT *, unnest(range(1000)) AS point FROM s)),
       c AS (SELECT magnitude_name, series, x, count(*) AS w FROM tall GROUP BY 1, 2, 3)
-      SELECT g.magnitude_name, g.series, g.point, g.gx AS x, sum(w * exp(-((gx - c.x) / h) ** 2 / 2)) / any_value(n * h * sqrt(2 * pi())) AS density
+      SELECT g.magnitude_name, g.series, g.point, g.gx AS x, sum(w * exp(-(((gx - c.x) / h) * ((gx - c.x) / h)) / 2)) / any_value(n * h * sqrt(2 * pi())) AS density
       FROM g JOIN c ON g.magnitude_name = c.magnitude_name AND g.series = c.series GROUP BY 1, 2, 3, 4""", d="x density", i="point"),
     "central_range": _c("""SELECT magnitude_name, q01, q99, q01 - abs(q01) * 0.1 AS range_low, q99 + abs(q99) * 0.1 AS range_high FROM (
       SELECT magnitude_name, quantile_cont(v, 0.01) AS q01, quantile_cont(v, 0.99) AS q99 FROM imputed WHERE NOT coalesce(was_missing, false) GROUP BY 1 HAVING count(v) > 10)""", d="q01 q99 range_low range_high"),

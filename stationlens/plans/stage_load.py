@@ -4,16 +4,19 @@ from stationlens.operators import clean as C
 from stationlens.operators import profile as P
 from stationlens.plans import adapters as A
 from stationlens.plans.base import check_sql, present
+from stationlens.plans.store import stored
 from stationlens.session import scratch_path
 from stationlens.sources import readings as R
 
 
 def daily(spark, sf):
-    return C.clean_readings(A.readings_daily(spark, sf))
+    """Cleaned long-history readings, written once as every later stage reads them."""
+    return stored(spark, sf, "cleaned_daily", lambda s, d: C.clean_readings(A.readings_daily(s, d)))
 
 
 def hourly(spark, sf):
-    return C.clean_readings(A.readings_hourly(spark, sf))
+    """Cleaned dense hourly readings."""
+    return stored(spark, sf, "cleaned_hourly", lambda s, d: C.clean_readings(A.readings_hourly(s, d)))
 
 
 def coerced(spark, sf):
@@ -34,7 +37,7 @@ def _csv(spark, sf):
 
 def _written(spark, sf):
     path = scratch_path(spark, "cleaned")
-    R.write_cleaned(daily(spark, sf), path)
+    R.write_cleaned(C.clean_readings(A.readings_daily(spark, sf)), path)
     return spark.read.parquet(path)
 
 
