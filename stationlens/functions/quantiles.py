@@ -120,3 +120,17 @@ def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a table of exactly one row (a global aggregate) to every row."""
     left = df.withColumn("_one", F.lit(1))
     return left.join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one")
+
+
+def summarize(df: DataFrame, keys, value: str, aggs, probs: dict, split: bool = None, **opts) -> DataFrame:
+    """Aggregates ``aggs`` and quantiles ``probs`` of ``value`` per group.
+
+    A small input takes one aggregation; otherwise the quantiles come from ``grouped_quantiles``.
+    """
+    keys = list(keys)
+    if split is False or (split is None and is_small(df)):
+        q = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs.values()]))
+        out = df.groupBy(*keys).agg(*aggs, q.alias("_q"))
+        return out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)]).drop("_q")
+    q = grouped_quantiles(df, keys, value, probs, split=split, **opts).drop("n_values")
+    return join_on(df.groupBy(*keys).agg(*aggs), q, keys)
