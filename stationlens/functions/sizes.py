@@ -9,7 +9,7 @@ def input_bytes(df: DataFrame):
     """Bytes of all tables below ``df`` as Spark knows them, or None where it does not say."""
     try:
         leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
-        return sum(int(leaves.apply(i).stats().sizeInBytes().toString()) for i in range(leaves.size()))
+        return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
     except Exception:
         return None
 
