@@ -29,6 +29,16 @@ def _loops(nodes, **values):
     return nodes.select(G, F.col("id").alias("src"), F.col("id").alias("dst"), *[F.lit(v).alias(k) for k, v in values.items()])
 
 
+def _sized(df, max_rows=1_000_000):
+    """(table, large): the checkpointed table, marked for broadcast if it is counted to be small.
+
+    Then each round shuffles the state alone. Larger tables are left to Spark, which splits the
+    links of a hub that holds many of them (adaptive skew join).
+    """
+    large = df.count() > max_rows
+    return (df if large else F.broadcast(df)), large
+
+
 def _own(c):
     """Aggregate that keeps the value a node sends to itself."""
     return F.max(F.when(F.col("src") == F.col("dst"), F.col(c)))
@@ -82,13 +92,13 @@ def clustering(nodes: DataFrame, edges: DataFrame, weight: str = None) -> DataFr
 
 def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 4) -> DataFrame:
     """(graph_name, id, component): the smallest node id each node can reach."""
-    links = checkpointed(both_ways(edges).unionAll(_loops(nodes)))
+    links, large = _sized(checkpointed(both_ways(edges).unionAll(_loops(nodes))))
     state = nodes.select(G, "id", F.col("id").alias("component"), F.lit(None).cast("long").alias("_before"))
     while True:
         step = state.select(G, F.col("id").alias("src"), "component", F.col("component").alias("_before"))
         for _ in range(rounds):
             step = links.join(step, [G, "src"]).groupBy(G, F.col("dst")).agg(F.min("component").alias("component"), _own("_before").alias("_before")).withColumnRenamed("dst", "src")
-        state = checkpointed(step.withColumnRenamed("src", "id"))
+        state = checkpointed(step.withColumnRenamed("src", "id"), large)
         if state.filter(F.col("component") != F.col("_before")).isEmpty():
             return state.select(G, "id", "component")
         # A label is itself a node: taking that node's label halves the way to the smallest one.
@@ -113,7 +123,7 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, weight: str = "distance",
 
     Only entries that got shorter in the last block are extended in the next one.
     """
-    links = checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(nodes, w=0.0)))
+    links, large = _sized(checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(nodes, w=0.0))))
     starts = nodes.select(G, "id") if sources is None else sources.select(G, "id")
     state = starts.select(G, F.col("id").alias("source"), F.col("id").alias("node"), F.lit(0.0).alias("dist"))
     changed = state
@@ -125,7 +135,7 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, weight: str = "distance",
                 .groupBy(G, "source", F.col("dst").alias("node")).agg(F.min(F.col("dist") + F.col("w")).alias("dist"))
             )
         both = state.withColumn("_old", F.col("dist")).unionByName(reach.withColumn("_old", F.lit(None).cast("double")))
-        merged = checkpointed(both.groupBy(G, "source", "node").agg(F.min("dist").alias("dist"), F.min("_old").alias("_old")))
+        merged = checkpointed(both.groupBy(G, "source", "node").agg(F.min("dist").alias("dist"), F.min("_old").alias("_old")), large)
         state = merged.select(G, "source", "node", "dist")
         changed = merged.filter(F.col("_old").isNull() | (F.col("dist") < F.col("_old"))).select(state.columns)
         if changed.isEmpty():
@@ -165,8 +175,9 @@ def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: st
     loops = paths.select(G, "source", F.col("node").alias("src"), F.col("node").alias("dst"))
     key = [G, "source", "src"]
 
-    def flow(links, state):
+    def flow(sized, state):
         """Send ``x`` along ``links`` until nothing moves; ``acc`` sums all that arrived."""
+        links, large = sized
         while True:
             step = state
             for _ in range(rounds):
@@ -177,20 +188,20 @@ def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: st
                     .agg(F.sum(F.when(self_, 0.0).otherwise(F.col("x") * F.col("c"))).alias("x"), F.sum(F.when(self_, F.col("acc")).otherwise(0.0)).alias("acc"))
                     .select(G, "source", F.col("dst").alias("src"), "x", (F.col("acc") + F.col("x")).alias("acc"))
                 )
-            state = checkpointed(step)
+            state = checkpointed(step, large)
             if state.filter("x > 0").isEmpty():
                 return state
 
     one = F.lit(1.0)
     at_source = F.when(F.col("source") == F.col("node"), 1.0).otherwise(0.0)
-    forward = dag.withColumn("c", one).unionByName(loops.withColumn("c", one))
+    forward = _sized(checkpointed(dag.withColumn("c", one).unionByName(loops.withColumn("c", one))))
     sigma = flow(forward, paths.select(G, "source", F.col("node").alias("src"), at_source.alias("x"), at_source.alias("acc"))).select(*key, F.col("acc").alias("s"))
     back = (
         dag.join(sigma.withColumnRenamed("s", "su"), key)
         .join(sigma.select(G, "source", F.col("src").alias("dst"), F.col("s").alias("sv")), [G, "source", "dst"])
         .select(G, "source", F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("su") / F.col("sv")).alias("c"))
     )
-    backward = checkpointed(back.unionByName(loops.withColumn("c", one)))
+    backward = _sized(checkpointed(back.unionByName(loops.withColumn("c", one))))
     start = F.when(F.col("source") == F.col("node"), 0.0).otherwise(1.0)
     delta = flow(backward, paths.select(G, "source", F.col("node").alias("src"), start.alias("x"), F.lit(0.0).alias("acc")))
     sums = delta.filter("source <> src").groupBy(G, F.col("src").alias("id")).agg(F.sum("acc").alias("_b"))
@@ -199,7 +210,7 @@ def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: st
     return nodes.select(G, "id").join(sums, [G, "id"], "left").join(sizes, G).select(G, "id", F.coalesce(value, F.lit(0.0)).alias("betweenness_centrality"))
 
 
-def _iterate(state, step, sizes, tol, max_rounds, block, normalise):
+def _iterate(state, step, sizes, tol, max_rounds, block, normalise, large):
     """Run ``step`` until each graph's vector moves less than n * tol in total.
 
     ``step`` turns (graph_name, src, x, hist, extras) into the next round. Returns
@@ -211,7 +222,7 @@ def _iterate(state, step, sizes, tol, max_rounds, block, normalise):
         run = state.withColumn("hist", F.array("x"))
         for _ in range(n):
             run = step(run)
-        run = checkpointed(run)
+        run = checkpointed(run, large)
         rows = run.select(G, F.col("src").alias("id"), F.posexplode("hist").alias("t", "y"))
         if normalise:
             norms = rows.groupBy(G, "t").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("_norm"))
@@ -220,13 +231,13 @@ def _iterate(state, step, sizes, tol, max_rounds, block, normalise):
         w = Window.partitionBy(G, "id").orderBy("t")  # one row per round of this block
         moved = rows.withColumn("_m", F.abs(F.col("y") - F.lag("y").over(w))).filter("t > 0").groupBy(G, "t").agg(F.sum("_m").alias("_m"))
         stops = checkpointed(
-            moved.join(sizes, G).filter(F.col("_m") < F.col("n") * tol).groupBy(G).agg(F.min("t").alias("t"))
+            moved.join(sizes, G).filter(F.col("_m") < F.col("n") * tol).groupBy(G).agg(F.min("t").alias("t")), large
         )
-        settled.append(checkpointed(rows.join(stops, [G, "t"]).select(G, "id", F.col("y").alias("x"))))
+        settled.append(rows.join(stops, [G, "t"]).select(G, "id", F.col("y").alias("x")))
         last = rows.filter(F.col("t") == n).join(stops, G, "left_anti").select(G, F.col("id").alias("src"), F.col("y").alias("x"))
         extras = [c for c in state.columns if c not in (G, "src", "x")]
         state = last.join(run.select(G, "src", *extras), [G, "src"]) if extras else last
-        state = checkpointed(state)
+        state = checkpointed(state, large)
         done += n
         if state.isEmpty():
             break
@@ -238,7 +249,7 @@ def eigenvector_centrality(nodes: DataFrame, edges: DataFrame, weight: str, tol:
     active = edges.select(G).distinct()
     members = nodes.select(G, "id").join(active, G, "left_semi")
     sizes = checkpointed(members.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
-    links = checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(members, w=1.0)))
+    links, large = _sized(checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(members, w=1.0))))
 
     def step(s):
         return (
@@ -247,7 +258,7 @@ def eigenvector_centrality(nodes: DataFrame, edges: DataFrame, weight: str, tol:
         )
 
     start = members.join(sizes, G).select(G, F.col("id").alias("src"), (1 / F.col("n")).alias("x"))
-    found = _iterate(start, step, sizes, tol, max_rounds, block, True)
+    found = _iterate(start, step, sizes, tol, max_rounds, block, True, large)
     value = F.when(F.col("_active").isNull(), 0.0).otherwise(F.col("x"))
     return nodes.select(G, "id").join(found, [G, "id"], "left").join(active.withColumn("_active", F.lit(1)), G, "left").select(G, "id", value.alias("eigenvector_centrality"))
 
@@ -258,9 +269,9 @@ def pagerank(nodes: DataFrame, edges: DataFrame, weight: str, damping: float = 0
     sizes = checkpointed(nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
     linked = out.groupBy(G).agg(F.count(F.lit(1)).alias("_linked"))
     facts = sizes.join(linked, G, "left").select(G, "n", (F.col("n") - F.coalesce("_linked", F.lit(0))).alias("alone"))
-    links = checkpointed(
+    links, large = _sized(checkpointed(
         both_ways(edges, weight).join(out, [G, "src"]).select(G, "src", "dst", (F.col(weight) / F.col("_s")).alias("w")).unionAll(_loops(nodes, w=0.0))
-    )
+    ))
     # All nodes without links share one value, which is all that is spread evenly: it needs no sum.
     base = (1 - damping) / F.col("n") + damping * F.col("alone") * F.col("z") / F.col("n")
 
@@ -273,7 +284,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, weight: str, damping: float = 0
         )
 
     start = nodes.select(G, "id").join(facts, G).select(G, F.col("id").alias("src"), (1 / F.col("n")).alias("x"), "n", "alone", (1 / F.col("n")).alias("z"))
-    found = _iterate(start, step, sizes, tol, max_rounds, block, False)
+    found = _iterate(start, step, sizes, tol, max_rounds, block, False, large)
     return nodes.select(G, "id").join(found, [G, "id"], "left").select(G, "id", F.col("x").alias("pagerank"))
 
 
@@ -288,35 +299,40 @@ def modularity(edges: DataFrame, membership: DataFrame, weight: str) -> DataFram
     return per.join(total, G).groupBy(G).agg(F.sum(F.col("_in") / F.col("_2m") - share * share).alias("modularity"))
 
 
-def _local_moves(links, strength, total, seed, max_rounds):
+def _local_moves(links, strength, seed, max_rounds):
     """Move nodes to the neighbouring community of highest gain until two rounds pass without a move.
 
-    In each round only one half of the nodes may move, so that neighbours do not swap places.
+    ``links`` (graph_name, src, dst, w, k, m2) and ``strength`` (graph_name, id, k, m2) carry the
+    strength of the moving node and the total of their graph. In each round only one half of the
+    nodes may move, so that neighbours do not swap places.
     """
-    state = checkpointed(strength.select(G, "id", F.col("id").alias("c"), "k", F.lit(False).alias("moved")))
+    state = checkpointed(strength.select(G, "id", F.col("id").alias("c"), "k", "m2", F.lit(False).alias("moved")))
+    between, large = _sized(checkpointed(links.filter("src <> dst")))
     quiet = 0
     for r in range(max_rounds):
         sums = state.groupBy(G, "c").agg(F.sum("k").alias("_tot"))
-        near = links.filter("src <> dst").join(state.select(G, F.col("id").alias("dst"), "c"), [G, "dst"]).groupBy(G, F.col("src").alias("id"), "c").agg(F.sum("w").alias("_w"))
-        stay = state.select(G, "id", "c", F.lit(0.0).alias("_w"))
-        options = near.unionByName(stay).groupBy(G, "id", "c").agg(F.sum("_w").alias("_w")).join(sums, [G, "c"])
-        mine = state.select(G, "id", F.col("c").alias("_now"), "k")
-        gain = F.col("_w") - F.col("k") * (F.col("_tot") - F.when(F.col("c") == F.col("_now"), F.col("k")).otherwise(0.0)) / F.col("_2m")
-        rated = options.join(mine, [G, "id"]).join(total, G).withColumn("_g", gain)
+        near = between.join(state.select(G, F.col("id").alias("dst"), "c"), [G, "dst"]).select(G, F.col("src").alias("id"), "c", "w", "k", "m2", F.lit(False).alias("_now"))
+        stay = state.select(G, "id", "c", F.lit(0.0).alias("w"), "k", "m2", F.lit(True).alias("_now"))
+        options = near.unionByName(stay).groupBy(G, "id", "c").agg(
+            F.sum("w").alias("w"), F.max("k").alias("k"), F.max("m2").alias("m2"), F.max("_now").alias("_now")
+        )
+        others = F.col("_tot") - F.when(F.col("_now"), F.col("k")).otherwise(0.0)
+        rated = options.join(sums, [G, "c"]).withColumn("_g", F.col("w") - F.col("k") * others / F.col("m2"))
         best = rated.groupBy(G, "id").agg(
-            F.max(F.struct(F.col("_g"), -F.col("c"))).alias("_best"), F.max(F.when(F.col("c") == F.col("_now"), F.col("_g"))).alias("_stay"),
-            F.first("_now").alias("_now"), F.first("k").alias("k"), F.first("_2m").alias("_2m"),
+            F.max(F.struct(F.col("_g").alias("gain"), (-F.col("c")).alias("neg"))).alias("_best"),
+            F.max(F.when(F.col("_now"), F.struct(F.col("_g").alias("gain"), F.col("c").alias("c")))).alias("_own"),
+            F.max("k").alias("k"), F.max("m2").alias("m2"),
         )
         turn = F.pmod(F.xxhash64("id", F.lit(seed + r // 2)), F.lit(2)) == (r % 2)
-        go = turn & (F.col("_best._g") > F.col("_stay") + 1e-9 * F.col("_2m"))
-        state = checkpointed(best.select(G, "id", F.when(go, -F.col("_best.col2")).otherwise(F.col("_now")).alias("c"), "k", go.alias("moved")))
+        go = turn & (F.col("_best.gain") > F.col("_own.gain") + 1e-9 * F.col("m2"))
+        state = checkpointed(best.select(G, "id", F.when(go, -F.col("_best.neg")).otherwise(F.col("_own.c")).alias("c"), "k", "m2", go.alias("moved")), large)
         quiet = quiet + 1 if state.filter("moved").isEmpty() else 0
         if quiet == 2:
             break
     return state.select(G, "id", "c")
 
 
-def communities(nodes: DataFrame, edges: DataFrame, weight: str, seed: int = 42, min_gain: float = 1e-7, max_levels: int = 10, max_rounds: int = 24) -> DataFrame:
+def communities(nodes: DataFrame, edges: DataFrame, weight: str, seed: int = 42, min_gain: float = 1e-7, max_levels: int = 10, max_rounds: int = 10) -> DataFrame:
     """Louvain communities: (graph_name, id, community_id, community_size, modularity, community_algorithm).
 
     Local moves and contraction alternate until modularity no longer grows; a level that does
@@ -326,13 +342,14 @@ def communities(nodes: DataFrame, edges: DataFrame, weight: str, seed: int = 42,
     members = checkpointed(nodes.select(G, F.col("id").cast("long").alias("id"), F.col("id").cast("long").alias("community")))
     plain = checkpointed(edges.select(G, F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"), F.col(weight).alias("w")))
     links = checkpointed(both_ways(plain, "w"))
-    total = checkpointed(links.groupBy(G).agg(F.sum("w").alias("_2m")))
+    total = checkpointed(links.groupBy(G).agg(F.sum("w").alias("m2")))
     best = checkpointed(modularity(plain, members, "w"))
     open_graphs = active
     for level in range(max_levels):
         current = links.join(open_graphs, G, "left_semi")
-        strength = current.groupBy(G, F.col("src").alias("id")).agg(F.sum("w").alias("k"))
-        moves = _local_moves(current, checkpointed(strength), total, seed + level, max_rounds)
+        strength = checkpointed(current.groupBy(G, F.col("src").alias("id")).agg(F.sum("w").alias("k")).join(total, G))
+        rated = current.join(strength.withColumnRenamed("id", "src"), [G, "src"])
+        moves = _local_moves(rated, strength, seed + level, max_rounds)
         renamed = moves.select(G, F.col("id").alias("community"), F.col("c").alias("_new"))
         tried = members.join(renamed, [G, "community"], "left").select(G, "id", F.coalesce("_new", "community").alias("community"))
         tried = checkpointed(tried)

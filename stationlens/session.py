@@ -52,9 +52,20 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "stationlens", f"{name}-{uuid.uuid4().hex}")
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` reliably and cut its lineage, so that a lost executor costs no rounds."""
+def checkpointed(df: DataFrame, adaptive: bool = True) -> DataFrame:
+    """Materialise ``df`` reliably and cut its lineage, so that a lost executor costs no rounds.
+
+    ``adaptive=False`` plans this one job up front. That suits a chain of many small shuffles of
+    counted-small tables, where planning anew after each of them is most of the work.
+    """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    return df.checkpoint(eager=True)
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    try:
+        if not adaptive:
+            spark.conf.set(key, "false")
+        return df.checkpoint(eager=True)
+    finally:
+        spark.conf.set(key, before)
