@@ -66,7 +66,8 @@ def pearson(a, b) -> Column:
     x = F.when(b.isNotNull(), a)
     y = F.when(a.isNotNull(), b)
     r = F.try_divide(F.covar_pop(x, y), F.stddev_pop(x) * F.stddev_pop(y))
-    return F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r))
+    # greatest and least skip nulls, so a null must not reach them.
+    return F.when(r.isNotNull(), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), r)))
 
 
 # Rational approximation of the normal CDF (Hart 1968, West 2005), highest power first.

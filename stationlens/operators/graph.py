@@ -29,14 +29,15 @@ def _loops(nodes, **values):
     return nodes.select(G, F.col("id").alias("src"), F.col("id").alias("dst"), *[F.lit(v).alias(k) for k, v in values.items()])
 
 
-def _sized(df, max_rows=1_000_000):
-    """(table, large): the checkpointed table, marked for broadcast if it is counted to be small.
+def _sized(df, max_rows=1_000_000, rows_per_task=100_000):
+    """(table, partitions): the checkpointed table, marked for broadcast if counted to be small.
 
-    Then each round shuffles the state alone. Larger tables are left to Spark, which splits the
-    links of a hub that holds many of them (adaptive skew join).
+    Then each round shuffles the state alone, in as many partitions as the count calls for.
+    Larger tables are left to Spark, which splits the links of a hub that holds many of them
+    (adaptive skew join); their ``partitions`` is None.
     """
-    large = df.count() > max_rows
-    return (df if large else F.broadcast(df)), large
+    n = df.count()
+    return (df, None) if n > max_rows else (F.broadcast(df), max(1, n // rows_per_task))
 
 
 def _own(c):
@@ -90,15 +91,15 @@ def clustering(nodes: DataFrame, edges: DataFrame, weight: str = None) -> DataFr
     )
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 4) -> DataFrame:
+def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 2) -> DataFrame:
     """(graph_name, id, component): the smallest node id each node can reach."""
-    links, large = _sized(checkpointed(both_ways(edges).unionAll(_loops(nodes))))
+    links, parts = _sized(checkpointed(both_ways(edges).unionAll(_loops(nodes))))
     state = nodes.select(G, "id", F.col("id").alias("component"), F.lit(None).cast("long").alias("_before"))
     while True:
         step = state.select(G, F.col("id").alias("src"), "component", F.col("component").alias("_before"))
         for _ in range(rounds):
             step = links.join(step, [G, "src"]).groupBy(G, F.col("dst")).agg(F.min("component").alias("component"), _own("_before").alias("_before")).withColumnRenamed("dst", "src")
-        state = checkpointed(step.withColumnRenamed("src", "id"), large)
+        state = checkpointed(step.withColumnRenamed("src", "id"), parts)
         if state.filter(F.col("component") != F.col("_before")).isEmpty():
             return state.select(G, "id", "component")
         # A label is itself a node: taking that node's label halves the way to the smallest one.
@@ -123,7 +124,7 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, weight: str = "distance",
 
     Only entries that got shorter in the last block are extended in the next one.
     """
-    links, large = _sized(checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(nodes, w=0.0))))
+    links, parts = _sized(checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(nodes, w=0.0))))
     starts = nodes.select(G, "id") if sources is None else sources.select(G, "id")
     state = starts.select(G, F.col("id").alias("source"), F.col("id").alias("node"), F.lit(0.0).alias("dist"))
     changed = state
@@ -135,7 +136,7 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, weight: str = "distance",
                 .groupBy(G, "source", F.col("dst").alias("node")).agg(F.min(F.col("dist") + F.col("w")).alias("dist"))
             )
         both = state.withColumn("_old", F.col("dist")).unionByName(reach.withColumn("_old", F.lit(None).cast("double")))
-        merged = checkpointed(both.groupBy(G, "source", "node").agg(F.min("dist").alias("dist"), F.min("_old").alias("_old")), large)
+        merged = checkpointed(both.groupBy(G, "source", "node").agg(F.min("dist").alias("dist"), F.min("_old").alias("_old")), parts)
         state = merged.select(G, "source", "node", "dist")
         changed = merged.filter(F.col("_old").isNull() | (F.col("dist") < F.col("_old"))).select(state.columns)
         if changed.isEmpty():
@@ -177,7 +178,7 @@ def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: st
 
     def flow(sized, state):
         """Send ``x`` along ``links`` until nothing moves; ``acc`` sums all that arrived."""
-        links, large = sized
+        links, parts = sized
         while True:
             step = state
             for _ in range(rounds):
@@ -188,7 +189,7 @@ def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: st
                     .agg(F.sum(F.when(self_, 0.0).otherwise(F.col("x") * F.col("c"))).alias("x"), F.sum(F.when(self_, F.col("acc")).otherwise(0.0)).alias("acc"))
                     .select(G, "source", F.col("dst").alias("src"), "x", (F.col("acc") + F.col("x")).alias("acc"))
                 )
-            state = checkpointed(step, large)
+            state = checkpointed(step, parts)
             if state.filter("x > 0").isEmpty():
                 return state
 
@@ -210,7 +211,7 @@ def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: st
     return nodes.select(G, "id").join(sums, [G, "id"], "left").join(sizes, G).select(G, "id", F.coalesce(value, F.lit(0.0)).alias("betweenness_centrality"))
 
 
-def _iterate(state, step, sizes, tol, max_rounds, block, normalise, large):
+def _iterate(state, step, sizes, tol, max_rounds, block, normalise, parts):
     """Run ``step`` until each graph's vector moves less than n * tol in total.
 
     ``step`` turns (graph_name, src, x, hist, extras) into the next round. Returns
@@ -222,7 +223,7 @@ def _iterate(state, step, sizes, tol, max_rounds, block, normalise, large):
         run = state.withColumn("hist", F.array("x"))
         for _ in range(n):
             run = step(run)
-        run = checkpointed(run, large)
+        run = checkpointed(run, parts)
         rows = run.select(G, F.col("src").alias("id"), F.posexplode("hist").alias("t", "y"))
         if normalise:
             norms = rows.groupBy(G, "t").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("_norm"))
@@ -231,13 +232,13 @@ def _iterate(state, step, sizes, tol, max_rounds, block, normalise, large):
         w = Window.partitionBy(G, "id").orderBy("t")  # one row per round of this block
         moved = rows.withColumn("_m", F.abs(F.col("y") - F.lag("y").over(w))).filter("t > 0").groupBy(G, "t").agg(F.sum("_m").alias("_m"))
         stops = checkpointed(
-            moved.join(sizes, G).filter(F.col("_m") < F.col("n") * tol).groupBy(G).agg(F.min("t").alias("t")), large
+            moved.join(sizes, G).filter(F.col("_m") < F.col("n") * tol).groupBy(G).agg(F.min("t").alias("t")), parts
         )
         settled.append(rows.join(stops, [G, "t"]).select(G, "id", F.col("y").alias("x")))
         last = rows.filter(F.col("t") == n).join(stops, G, "left_anti").select(G, F.col("id").alias("src"), F.col("y").alias("x"))
         extras = [c for c in state.columns if c not in (G, "src", "x")]
         state = last.join(run.select(G, "src", *extras), [G, "src"]) if extras else last
-        state = checkpointed(state, large)
+        state = checkpointed(state, parts)
         done += n
         if state.isEmpty():
             break
@@ -249,7 +250,7 @@ def eigenvector_centrality(nodes: DataFrame, edges: DataFrame, weight: str, tol:
     active = edges.select(G).distinct()
     members = nodes.select(G, "id").join(active, G, "left_semi")
     sizes = checkpointed(members.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
-    links, large = _sized(checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(members, w=1.0))))
+    links, parts = _sized(checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(members, w=1.0))))
 
     def step(s):
         return (
@@ -258,7 +259,7 @@ def eigenvector_centrality(nodes: DataFrame, edges: DataFrame, weight: str, tol:
         )
 
     start = members.join(sizes, G).select(G, F.col("id").alias("src"), (1 / F.col("n")).alias("x"))
-    found = _iterate(start, step, sizes, tol, max_rounds, block, True, large)
+    found = _iterate(start, step, sizes, tol, max_rounds, block, True, parts)
     value = F.when(F.col("_active").isNull(), 0.0).otherwise(F.col("x"))
     return nodes.select(G, "id").join(found, [G, "id"], "left").join(active.withColumn("_active", F.lit(1)), G, "left").select(G, "id", value.alias("eigenvector_centrality"))
 
@@ -269,7 +270,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, weight: str, damping: float = 0
     sizes = checkpointed(nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
     linked = out.groupBy(G).agg(F.count(F.lit(1)).alias("_linked"))
     facts = sizes.join(linked, G, "left").select(G, "n", (F.col("n") - F.coalesce("_linked", F.lit(0))).alias("alone"))
-    links, large = _sized(checkpointed(
+    links, parts = _sized(checkpointed(
         both_ways(edges, weight).join(out, [G, "src"]).select(G, "src", "dst", (F.col(weight) / F.col("_s")).alias("w")).unionAll(_loops(nodes, w=0.0))
     ))
     # All nodes without links share one value, which is all that is spread evenly: it needs no sum.
@@ -284,7 +285,7 @@ def pagerank(nodes: DataFrame, edges: DataFrame, weight: str, damping: float = 0
         )
 
     start = nodes.select(G, "id").join(facts, G).select(G, F.col("id").alias("src"), (1 / F.col("n")).alias("x"), "n", "alone", (1 / F.col("n")).alias("z"))
-    found = _iterate(start, step, sizes, tol, max_rounds, block, False, large)
+    found = _iterate(start, step, sizes, tol, max_rounds, block, False, parts)
     return nodes.select(G, "id").join(found, [G, "id"], "left").select(G, "id", F.col("x").alias("pagerank"))
 
 
@@ -307,7 +308,7 @@ def _local_moves(links, strength, seed, max_rounds):
     nodes may move, so that neighbours do not swap places.
     """
     state = checkpointed(strength.select(G, "id", F.col("id").alias("c"), "k", "m2", F.lit(False).alias("moved")))
-    between, large = _sized(checkpointed(links.filter("src <> dst")))
+    between, parts = _sized(checkpointed(links.filter("src <> dst")))
     quiet = 0
     for r in range(max_rounds):
         sums = state.groupBy(G, "c").agg(F.sum("k").alias("_tot"))
@@ -325,7 +326,7 @@ def _local_moves(links, strength, seed, max_rounds):
         )
         turn = F.pmod(F.xxhash64("id", F.lit(seed + r // 2)), F.lit(2)) == (r % 2)
         go = turn & (F.col("_best.gain") > F.col("_own.gain") + 1e-9 * F.col("m2"))
-        state = checkpointed(best.select(G, "id", F.when(go, -F.col("_best.neg")).otherwise(F.col("_own.c")).alias("c"), "k", "m2", go.alias("moved")), large)
+        state = checkpointed(best.select(G, "id", F.when(go, -F.col("_best.neg")).otherwise(F.col("_own.c")).alias("c"), "k", "m2", go.alias("moved")), parts)
         quiet = quiet + 1 if state.filter("moved").isEmpty() else 0
         if quiet == 2:
             break

@@ -52,20 +52,24 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), "stationlens", f"{name}-{uuid.uuid4().hex}")
 
 
-def checkpointed(df: DataFrame, adaptive: bool = True) -> DataFrame:
+def checkpointed(df: DataFrame, partitions: int = None) -> DataFrame:
     """Materialise ``df`` reliably and cut its lineage, so that a lost executor costs no rounds.
 
-    ``adaptive=False`` plans this one job up front. That suits a chain of many small shuffles of
-    counted-small tables, where planning anew after each of them is most of the work.
+    ``partitions`` plans this one job up front with that many shuffle partitions. That suits a
+    chain of many small shuffles of counted-small tables, where planning anew after each of
+    them, and starting a task per default partition, is most of the work.
     """
     spark = df.sparkSession
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
-    key = "spark.sql.adaptive.enabled"
-    before = spark.conf.get(key)
+    if partitions is None:
+        return df.checkpoint(eager=True)
+    fixed = {"spark.sql.adaptive.enabled": "false", "spark.sql.shuffle.partitions": str(partitions)}
+    before = {k: spark.conf.get(k) for k in fixed}
     try:
-        if not adaptive:
-            spark.conf.set(key, "false")
+        for k, v in fixed.items():
+            spark.conf.set(k, v)
         return df.checkpoint(eager=True)
     finally:
-        spark.conf.set(key, before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
