@@ -125,13 +125,17 @@ def theil_sen(overall: DataFrame, min_months: int = 8) -> DataFrame:
 
 
 def mann_kendall(overall: DataFrame, min_months: int = 8) -> DataFrame:
-    """Mann-Kendall trend test (no tie correction) and Theil-Sen slope of the city-wide series."""
+    """Mann-Kendall trend test (no tie correction) and Theil-Sen slope of the city-wide series.
+
+    Means are sums of floating-point numbers in no fixed order, so months that differ by less
+    than 1e-9 count as equal; otherwise the statistic would change from run to run.
+    """
     x, n = F.col("x"), F.col("n").cast("double")
     rises = F.aggregate(
         F.sequence(F.lit(1), F.col("n") - 1),
         F.lit(0).cast("long"),
         lambda total, j: total + F.aggregate(
-            F.slice(x, F.lit(1), j), F.lit(0).cast("long"), lambda t, xi: t + F.signum(F.get(x, j) - xi).cast("long")
+            F.slice(x, F.lit(1), j), F.lit(0).cast("long"), lambda t, xi: t + F.signum(F.round(F.get(x, j) - xi, 9)).cast("long")
         ),
     )
     tested = _series(overall).filter(F.col("n") >= min_months).withColumn("s", rises).withColumn("_slopes", _sorted_slopes())

@@ -90,7 +90,7 @@ CTES = {
     "slopes": """SELECT magnitude_name, sensor_id, sensor_name, regr_slope(mean_value, x) AS monthly_trend_slope FROM (
       SELECT *, row_number() OVER (PARTITION BY magnitude_name, sensor_id, sensor_name ORDER BY month) - 1 AS x FROM mon) GROUP BY ALL""",
     "posn": "SELECT magnitude_name, mean_across_sensors AS x, row_number() OVER (PARTITION BY magnitude_name ORDER BY month) - 1 AS i, count(*) OVER (PARTITION BY magnitude_name) AS n FROM ove",
-    "mk0": """SELECT a.magnitude_name, a.n, sum(CAST(sign(b.x - a.x) AS BIGINT))::BIGINT AS s, quantile_cont((b.x - a.x) / (b.i - a.i), 0.5) AS ts
+    "mk0": """SELECT a.magnitude_name, a.n, sum(CAST(sign(round(b.x - a.x, 9)) AS BIGINT))::BIGINT AS s, quantile_cont((b.x - a.x) / (b.i - a.i), 0.5) AS ts
       FROM posn a JOIN posn b ON a.magnitude_name = b.magnitude_name AND a.i < b.i WHERE a.n >= 8 GROUP BY 1, 2""",
     "mk1": "SELECT *, abs((s - sign(s)) / sqrt(n * (n - 1) * (2 * n + 5) / 18.0::DOUBLE)) AS az, (s - sign(s)) / sqrt(n * (n - 1) * (2 * n + 5) / 18.0::DOUBLE) AS z, s / (0.5::DOUBLE * n * (n - 1)) AS tau FROM mk0",
     "mk": f"""SELECT magnitude_name, s AS mk_s, round_even(tau, 4) AS mk_tau, round_even(z, 4) AS mk_z, round_even(p, 4) AS mk_p_value, p < 0.05 AS mk_significant,
