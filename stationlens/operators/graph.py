@@ -398,14 +398,17 @@ def graph_summary(nodes: DataFrame, edges: DataFrame, components: DataFrame, pat
     )
 
 
-def node_metrics(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: str, fallback: str = "pagerank", extended: bool = False) -> DataFrame:
+def node_metrics(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: str, fallback: str = "pagerank", extended: bool = False,
+                 between: DataFrame = None, eigen: DataFrame = None) -> DataFrame:
     """One row per (graph, node) with all centralities beside the columns of ``nodes``.
 
     ``fallback`` says what stands in for an eigenvector that did not settle: "pagerank" or "zero".
-    ``extended`` adds the weighted degree and the weighted clustering coefficient.
+    ``extended`` adds the weighted degree and the weighted clustering coefficient. ``between`` and
+    ``eigen`` are results of ``betweenness`` and ``eigenvector_centrality`` already at hand.
     """
     key = [G, "id"]
-    eigen = checkpointed(eigenvector_centrality(nodes, edges, weight))
+    eigen = checkpointed(eigenvector_centrality(nodes, edges, weight)) if eigen is None else eigen
+    between = betweenness(nodes, edges, paths) if between is None else between
     if fallback == "pagerank":
         missing = eigen.filter(F.col("eigenvector_centrality").isNull()).select(G).distinct()
         if not missing.isEmpty():
@@ -415,7 +418,7 @@ def node_metrics(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: s
     out = nodes.join(degree(nodes, edges), key)
     if extended:
         out = out.join(weighted_degree(nodes, edges, weight), key)
-    out = out.join(betweenness(nodes, edges, paths), key).join(closeness(nodes, paths), key)
+    out = out.join(between, key).join(closeness(nodes, paths), key)
     if extended:
         out = out.join(clustering(nodes, edges, weight), key)
     return out.join(eigen, key)

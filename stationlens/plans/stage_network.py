@@ -74,10 +74,22 @@ def summary(s, d, kind="spatial"):
         nodes(s, d), edges(s, d), components(s, d, kind), paths(s, d, kind), attrs, None if kind == "spatial" else "weight"))
 
 
+def between(s, d, kind="spatial"):
+    nodes, edges = _kind(kind)
+    return stored(s, d, f"{kind}_betweenness", lambda s, d: N.betweenness(nodes(s, d), edges(s, d), paths(s, d, kind)))
+
+
+def eigen(s, d, kind="correlation"):
+    nodes, edges = _kind(kind)
+    weight = "similarity" if kind == "spatial" else "weight"
+    return stored(s, d, f"{kind}_eigenvector", lambda s, d: N.eigenvector_centrality(nodes(s, d), edges(s, d), weight))
+
+
 def metrics(s, d, kind="spatial"):
     nodes, edges = _kind(kind)
+    rest = ("similarity",) if kind == "spatial" else ("weight", "zero", True)
     return stored(s, d, f"{kind}_metrics", lambda s, d: N.node_metrics(
-        nodes(s, d), edges(s, d), paths(s, d, kind), *(("similarity",) if kind == "spatial" else ("weight", "zero", True))))
+        nodes(s, d), edges(s, d), paths(s, d, kind), *rest, between=between(s, d, kind), eigen=eigen(s, d, kind)))
 
 
 def groups(s, d, kind="spatial"):
@@ -158,9 +170,9 @@ QUERIES = {
     "communities": groups,
     "communities_correlation": lambda s, d: groups(s, d, "correlation"),
     "community_jaccard": lambda s, d: H.community_jaccard(N.selected_table(groups(s, d), selected(s, d)), _corr_groups(s, d)),
-    "eigenvector_centrality": lambda s, d: N.eigenvector_centrality(corr_nodes(s, d), corr_edges(s, d), "weight"),
+    "eigenvector_centrality": eigen,
     "pagerank": lambda s, d: N.pagerank(spatial_nodes(s, d), spatial_edges(s, d), "similarity"),
-    "betweenness": lambda s, d: N.betweenness(spatial_nodes(s, d), spatial_edges(s, d), paths(s, d)),
+    "betweenness": between,
     "node_metrics": metrics,
     "node_metrics_correlation": lambda s, d: metrics(s, d, "correlation"),
     "selected_tables": lambda s, d: N.selected_table(metrics(s, d), selected(s, d)),
