@@ -1,5 +1,6 @@
 """Registered queries: forecasting and report tables."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from stationlens.operators import forecast as J
@@ -11,6 +12,7 @@ from stationlens.plans import adapters as A
 from stationlens.plans import stage_network as net
 from stationlens.plans import stage_temporal as tem
 from stationlens.plans.base import check_sql, present
+from stationlens.plans.stage_impute import _c as impute_sql
 from stationlens.plans.stage_impute import imputed
 from stationlens.plans.stage_load import daily, hourly
 from stationlens.plans.stage_temporal import CTES as TEMPORAL
@@ -72,7 +74,6 @@ def _features(s, d):
 def _standardized(s, d):
     rows = J.assemble(split(s, d), J.feature_columns(panel(s, d).columns))
     scaled = J.standardize(rows.filter("split = 'train'")).transform(rows)
-    from pyspark.ml.functions import vector_to_array
     return scaled.select("position", "split", vector_to_array("features").alias("v")).select("position", "split", F.col("v")[0].alias("first_feature"), F.col("v")[1].alias("second_feature"))
 
 
@@ -180,7 +181,7 @@ CHECKS = {
     "top_pollutant_profiles": _c("SELECT magnitude_name, year, avg(mean_value) AS mean_value FROM cyc_y WHERE magnitude_name IN (SELECT magnitude_name FROM cyc_y GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 4) GROUP BY 1, 2", d="mean_value", i="year"),
     "sensor_map": _c("""SELECT c.*, mean_no2 FROM (SELECT sensor_id, sensor_name, avg(utm_x) AS utm_x, avg(utm_y) AS utm_y FROM daily WHERE utm_x IS NOT NULL GROUP BY 1, 2) c
       LEFT JOIN (SELECT sensor_id, avg(value) AS mean_no2 FROM daily WHERE magnitude_name = 'NO2' GROUP BY 1) n ON c.sensor_id = n.sensor_id""", d="utm_x utm_y mean_no2", i="sensor_id"),
-    "imputation_comparison": None,
+    "imputation_comparison": impute_sql("SELECT series, avg(x) AS mean FROM tall GROUP BY 1", d="mean"),
     "metric_matrix": _c(f"SELECT target, max(r2) FILTER (WHERE model = 'ti') AS ti, max(r2) FILTER (WHERE model = 'vv') AS vv FROM ({_metrics('cru', chr(39) + 'test' + chr(39))}) GROUP BY 1", d="ti vv"),
     "utm_to_lonlat": _c("SELECT * FROM lonlat", d="utm_x utm_y lon lat", i="sensor_id"),
     "edge_geometry": _c("""SELECT graph_name, src, dst, a.lon AS source_lon, a.lat AS source_lat, b.lon AS target_lon, b.lat AS target_lat FROM sp_e JOIN lonlat a ON a.sensor_id = src JOIN lonlat b ON b.sensor_id = dst""",
@@ -189,6 +190,3 @@ CHECKS = {
       FROM mon ORDER BY mon.mean_value DESC, magnitude_name, sensor_id, sensor_name, month LIMIT 20""", d="mean_value median_value std_value", i="sensor_id", dates="month"),
     "composition": _c("""SELECT variable_type, count(*) AS n_rows, count(*) / (SELECT count(*) FROM daily)::DOUBLE AS share, avg(CAST(is_interpolated AS INTEGER)) AS missing_rate FROM daily GROUP BY 1""", d="share missing_rate"),
 }
-from stationlens.plans.stage_impute import _c as _impute_sql  # noqa: E402
-
-CHECKS["imputation_comparison"] = _impute_sql("SELECT series, avg(x) AS mean FROM tall GROUP BY 1", d="mean")
