@@ -228,7 +228,7 @@ def _named(hit, ids):
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5) -> DataFrame:
     """``docs`` without the texts that hold a test item."""
-    rest = docs
+    rest, hits = docs, W.fresh_name(docs, "_hits")
     for _, find in contaminated(docs, benchmark, min_score):
-        rest = rest.withColumn("_hits", find("text")).filter("_hits is null or size(_hits) = 0").drop("_hits")
+        rest = rest.withColumn(hits, find("text")).filter(F.col(hits).isNull() | (F.size(hits) == 0)).drop(hits)
     return rest

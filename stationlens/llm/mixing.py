@@ -91,11 +91,11 @@ def _placed(rows: DataFrame, epochs: int, seed: int) -> DataFrame:
     return many.withColumn("_h", F.md5(F.concat(F.lit(f"{seed}|"), F.col("epoch").cast("string"), F.lit("|"), F.col("_id"))))
 
 
-def mix(docs: DataFrame, weights: dict = None, share: float = 0.8, epochs: int = 2, seed: int = 17, domain: Column = None) -> DataFrame:
-    """Rows of ``docs`` once for each epoch that takes them, with a struct ``_mix``.
+def mix(docs: DataFrame, weights: dict = None, share: float = 0.8, epochs: int = 2, seed: int = 17, domain: Column = None, name: str = "_mix") -> DataFrame:
+    """Rows of ``docs`` once for each epoch that takes them, with a struct ``name``.
 
     ``weights`` is {"domain": {name: whole number}, "lang": ..., "source": ...}; the budget is
-    ``share`` of all tokens. ``_mix`` holds domain, lang, source, epoch, n_tokens and take_tokens
+    ``share`` of all tokens. The struct holds domain, lang, source, epoch, n_tokens and take_tokens
     (fewer than n_tokens only for the last document of a leaf).
     """
     named = [domain if domain is not None else source_domain(F.col("source")), F.col("lang"), F.col("source")]
@@ -128,7 +128,7 @@ def mix(docs: DataFrame, weights: dict = None, share: float = 0.8, epochs: int =
     take = F.when(here == F.col("_end"), F.least("_tokens", "_part")).otherwise(F.col("_tokens"))
     return taken.select(
         "_row.*",
-        F.struct(F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source"), "epoch", F.col("_tokens").alias("n_tokens"), take.alias("take_tokens")).alias("_mix"),
+        F.struct(F.col("_domain").alias("domain"), F.col("_lang").alias("lang"), F.col("_source").alias("source"), "epoch", F.col("_tokens").alias("n_tokens"), take.alias("take_tokens")).alias(name),
     )
 
 

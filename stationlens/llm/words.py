@@ -32,6 +32,14 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def fresh_name(df: DataFrame, name: str) -> str:
+    """``name``, lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def remainder(doc_id: str, divisor: int) -> Column:
     """crc32 of the id as text modulo ``divisor``; null for a null id."""
     return F.crc32(F.col(doc_id).cast("string").cast("binary")) % divisor
