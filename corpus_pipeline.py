@@ -9,6 +9,7 @@ from stationlens.llm.neardup import drop_near_duplicates
 from stationlens.llm.quality import quality
 from stationlens.llm.queries import MIX
 from stationlens.llm.sharding import shard_documents
+from stationlens.llm.words import fresh_name
 from stationlens.session import scratch_path
 
 ORACLE_SQL = None  # the line labelling and the alignment have no SQL form; tests compare with brute force
@@ -16,8 +17,9 @@ ORACLE_SQL = None  # the line labelling and the alignment have no SQL form; test
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the line labelling keeps."""
-    judged = quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), name="_quality")
-    return judged.filter(F.col("_quality")["kept"]).drop("_quality")
+    verdict = fresh_name(docs, "_quality")
+    judged = quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), name=verdict)
+    return judged.filter(F.col(verdict)["kept"]).drop(verdict)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,7 +34,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents at the front of their leaf's epochs, whole; an epoch that repeats a document repeats its row."""
-    return mix(docs, **MIX).drop("_mix")
+    share = fresh_name(docs, "_mix")
+    return mix(docs, **MIX, name=share).drop(share)
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
