@@ -2,6 +2,7 @@
 
 import json
 import os
+import sys
 import time
 
 from stationlens.operators.clean import clean_readings
@@ -31,6 +32,7 @@ def main():
         t = time.perf_counter()
         make().write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t, 3)
+        print(name, times[name], file=sys.stderr, flush=True)
 
     spark.range(1000).selectExpr("sum(id)").collect()  # the JVM is up before the first query
     timed("load_and_clean_daily", lambda: clean_readings(A.readings_daily(spark, sf_dir)))
