@@ -11,17 +11,15 @@ from functools import reduce
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlens.functions.sizes import is_small
-
 
 def grouped_quantiles(
     df: DataFrame, keys, value: str, probs: dict, weight: str = None,
-    split: bool = None, max_distinct: int = 1_000_000, ranges: int = 256,
+    split: bool = True, max_distinct: int = 1_000_000, ranges: int = 256,
 ) -> DataFrame:
     """One row per group with linearly interpolated quantiles ``probs`` = {column: p} and ``n_values``.
 
     ``weight`` names a column with the number of copies of each row (all rows count once without
-    it). ``split`` treats large groups apart; by default it does unless the whole input is small.
+    it). ``split`` treats large groups apart; only a caller that knows all groups to be small sets it False.
     ``max_distinct`` is the number of distinct values above which a group counts as large.
     """
     keys = list(keys)
@@ -32,7 +30,7 @@ def grouped_quantiles(
         (F.col(weight) if weight else F.lit(1)).cast("long").alias("_w"),
     )
     names, ps = list(probs), [float(p) for p in probs.values()]
-    if split is False or (split is None and is_small(df)):
+    if not split:
         out = _percentiles(base, gk, names, ps, "_w")
         return out.select(*[F.col(g).alias(k) for k, g in zip(keys, gk)], *names, "n_values")
     # Map-side combined: copies of a value collapse before the shuffle.
@@ -122,13 +120,13 @@ def attach_scalar(df: DataFrame, one_row: DataFrame) -> DataFrame:
     return left.join(F.broadcast(one_row.withColumn("_one", F.lit(1))), "_one").drop("_one")
 
 
-def summarize(df: DataFrame, keys, value: str, aggs, probs: dict, split: bool = None, **opts) -> DataFrame:
+def summarize(df: DataFrame, keys, value: str, aggs, probs: dict, split: bool = True, **opts) -> DataFrame:
     """Aggregates ``aggs`` and quantiles ``probs`` of ``value`` per group.
 
-    A small input takes one aggregation; otherwise the quantiles come from ``grouped_quantiles``.
+    Without ``split`` one aggregation does all; otherwise the quantiles come from ``grouped_quantiles``.
     """
     keys = list(keys)
-    if split is False or (split is None and is_small(df)):
+    if not split:
         q = F.percentile(F.col(value), F.array(*[F.lit(float(p)) for p in probs.values()]))
         out = df.groupBy(*keys).agg(*aggs, q.alias("_q"))
         return out.select("*", *[F.col("_q")[i].alias(n) for i, n in enumerate(probs)]).drop("_q")

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationlens.functions.columns import ratio
+from stationlens.functions.components import contract_components
 from stationlens.functions.quantiles import attach_scalar
 from stationlens.session import checkpointed
 
@@ -91,20 +92,17 @@ def clustering(nodes: DataFrame, edges: DataFrame, weight: str = None) -> DataFr
     )
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, rounds: int = 2) -> DataFrame:
-    """(graph_name, id, component): the smallest node id each node can reach."""
-    links, parts = _sized(checkpointed(both_ways(edges).unionAll(_loops(nodes))))
-    state = nodes.select(G, "id", F.col("id").alias("component"), F.lit(None).cast("long").alias("_before"))
-    while True:
-        step = state.select(G, F.col("id").alias("src"), "component", F.col("component").alias("_before"))
-        for _ in range(rounds):
-            step = links.join(step, [G, "src"]).groupBy(G, F.col("dst")).agg(F.min("component").alias("component"), _own("_before").alias("_before")).withColumnRenamed("dst", "src")
-        state = checkpointed(step.withColumnRenamed("src", "id"), parts)
-        if state.filter(F.col("component") != F.col("_before")).isEmpty():
-            return state.select(G, "id", "component")
-        # A label is itself a node: taking that node's label halves the way to the smallest one.
-        jump = state.select(G, F.col("id").alias("component"), F.col("component").alias("_root"))
-        state = state.join(jump, [G, "component"]).select(G, "id", F.col("_root").alias("component"), "_before")
+def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """(graph_name, id, component): the smallest node id each node can reach.
+
+    Links are contracted, so their number falls with every round and the rounds grow with the
+    logarithm of the number of nodes.
+    """
+    ends = [F.struct(F.col(G), F.col(c).alias("id")).alias(c) for c in ("src", "dst")]
+    labels = contract_components(edges.select(*ends), "src", "dst")
+    least = labels.groupBy("label").agg(F.min("id.id").alias("component"))
+    found = labels.join(least, "label").select(f"id.{G}", "id.id", "component")
+    return nodes.select(G, "id").join(found, [G, "id"], "left").select(G, "id", F.coalesce("component", "id").alias("component"))
 
 
 def component_sizes(components: DataFrame) -> DataFrame:
@@ -161,18 +159,46 @@ def closeness(nodes: DataFrame, paths: DataFrame) -> DataFrame:
     return nodes.select(G, "id").join(per, [G, "id"], "left").join(sizes, G).select(G, "id", F.coalesce(value, F.lit(0.0)).alias("closeness_centrality"))
 
 
+def _depth_of_ties(paths, dag, ties):
+    """(graph_name, source, node, depth): how many edges of distance 0 in a row lead to a node.
+
+    The source and nodes that an edge of positive length reaches have depth 0, others one more
+    than the shallowest neighbour at distance 0.
+    """
+    key = [G, "source", "node"]
+    reached = dag.filter("not _tie").select(G, "source", F.col("dst").alias("node"))
+    known = checkpointed(paths.filter("source = node").select(*key).unionByName(reached).distinct().withColumn("depth", F.lit(0)))
+    front = known
+    while not front.isEmpty():
+        step = ties.join(front.withColumnRenamed("node", "src"), [G, "source", "src"]).groupBy(G, "source", F.col("dst").alias("node")).agg((F.min("depth") + 1).alias("depth"))
+        front = checkpointed(step.join(known, key, "left_anti"))
+        known = checkpointed(known.unionByName(front))
+    return known
+
+
 def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: str = "distance", rounds: int = 6) -> DataFrame:
     """Share of shortest paths through each node, weighted, normalised, end points excluded.
 
     For each source the edges on shortest paths form an acyclic graph. Path counts flow forward
     along it and dependencies flow back, one hop per round, for all sources of all graphs at once.
+    An edge of distance 0 joins nodes of one distance; it counts in the direction away from the
+    nodes that edges of positive length reach (see ``_depth_of_ties``), so no cycle is left.
     """
     d = paths.select(G, "source", F.col("node").alias("src"), F.col("dist").alias("du"))
     e = paths.select(G, "source", F.col("node").alias("dst"), F.col("dist").alias("dv"))
     dag = checkpointed(
         both_ways(edges, weight).join(d, [G, "src"]).join(e, [G, "source", "dst"])
-        .filter(F.col("du") + F.col(weight) == F.col("dv")).select(G, "source", "src", "dst")
+        .filter(F.col("du") + F.col(weight) == F.col("dv")).select(G, "source", "src", "dst", (F.col(weight) == 0).alias("_tie"))
     )
+    ties = dag.filter("_tie").drop("_tie")
+    if not ties.isEmpty():
+        depth = _depth_of_ties(paths, dag, ties)
+        deeper = ties.join(depth.withColumnRenamed("node", "src").withColumnRenamed("depth", "_a"), [G, "source", "src"]).join(
+            depth.withColumnRenamed("node", "dst").withColumnRenamed("depth", "_b"), [G, "source", "dst"]
+        ).filter("_b > _a").select(G, "source", "src", "dst")
+        dag = checkpointed(dag.filter("not _tie").drop("_tie").unionByName(deeper))
+    else:
+        dag = dag.drop("_tie")
     loops = paths.select(G, "source", F.col("node").alias("src"), F.col("node").alias("dst"))
     key = [G, "source", "src"]
 

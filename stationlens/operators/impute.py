@@ -241,10 +241,10 @@ def reproducible_sample(df: DataFrame, n: int, seed: int = 42, by: str = None) -
     return keyed.withColumn("_rank", F.row_number().over(w)).filter(F.col("_rank") <= n).drop("_key", "_rank")
 
 
-def density_curves(imputed: DataFrame, sample_n: int = 30_000, seed: int = 42, points: int = 1000) -> DataFrame:
+def density_curves(imputed: DataFrame, points: int = 1000) -> DataFrame:
     """Gaussian density per (variable, series) of the focus pollutants on an even grid.
 
-    Gaps are sampled per variable, observed values are all used. Variables with fewer than 50
+    All gaps and observed values are used. Variables with fewer than 50
     gaps and series with fewer than 10 values or a single value are left out. The grid reaches
     half the value range beyond both ends; the bandwidth is std * n^(-1/5).
     """
@@ -253,8 +253,7 @@ def density_curves(imputed: DataFrame, sample_n: int = 30_000, seed: int = 42, p
     enough = (
         focus.groupBy("magnitude_name").agg(F.count_if(missing).alias("_gaps")).filter("_gaps >= 50").select("magnitude_name")
     )
-    sampled = reproducible_sample(focus.filter(missing), sample_n, seed, by="magnitude_name")
-    rows = focus.filter(~missing).unionByName(sampled).join(enough, "magnitude_name", "left_semi")
+    rows = focus.join(enough, "magnitude_name", "left_semi")
     counted = value_series(rows, ["magnitude_name"]).groupBy("magnitude_name", "series", "v").agg(F.count(F.lit(1)).alias("w"))
     first = counted.groupBy("magnitude_name", "series").agg(
         F.sum("w").alias("_n"), F.count(F.lit(1)).alias("_distinct"), F.min("v").alias("_lo"), F.max("v").alias("_hi"),
@@ -293,10 +292,10 @@ def central_range(imputed: DataFrame, **opts) -> DataFrame:
     )
 
 
-def box_stats(comparison: DataFrame, sample_n: int = 50_000, seed: int = 42, **opts) -> DataFrame:
-    """Quartiles of the absolute error per method and the whiskers within 1.5 IQR."""
+def box_stats(comparison: DataFrame, **opts) -> DataFrame:
+    """Quartiles of the absolute error per method over all rows and the whiskers within 1.5 IQR."""
     counted = (
-        method_errors(reproducible_sample(comparison, sample_n, seed))
+        method_errors(comparison)
         .groupBy("method", "abs_error").agg(F.count(F.lit(1)).alias("_w"))
     )
     q = grouped_quantiles(counted, ["method"], "abs_error", {"q1": 0.25, "median": 0.5, "q3": 0.75}, weight="_w", **opts)

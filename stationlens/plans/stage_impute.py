@@ -112,8 +112,7 @@ CHECKS = {
       FROM g JOIN c ON g.magnitude_name = c.magnitude_name AND g.series = c.series GROUP BY 1, 2, 3, 4""", d="x density", i="point"),
     "central_range": _c("""SELECT magnitude_name, q01, q99, q01 - abs(q01) * 0.1 AS range_low, q99 + abs(q99) * 0.1 AS range_high FROM (
       SELECT magnitude_name, quantile_cont(v, 0.01) AS q01, quantile_cont(v, 0.99) AS q99 FROM imputed WHERE NOT coalesce(was_missing, false) GROUP BY 1 HAVING count(v) > 10)""", d="q01 q99 range_low range_high"),
-    "box_stats": _c(f"""WITH s AS (SELECT * FROM compared ORDER BY {_SAMPLE} LIMIT 50000),
-      b AS ({" UNION ALL ".join(f"SELECT '{m}' AS method, abs({m} - provided_interpolation) AS a FROM s" for m in S.METHODS)}),
+    "box_stats": _c(f"""WITH b AS ({" UNION ALL ".join(f"SELECT '{m}' AS method, abs({m} - provided_interpolation) AS a FROM compared" for m in S.METHODS)}),
       q AS (SELECT method, quantile_cont(a, 0.25) AS q1, quantile_cont(a, 0.5) AS median, quantile_cont(a, 0.75) AS q3 FROM b GROUP BY 1)
       SELECT q.method, q1, median, q3, min(a) FILTER (WHERE a >= q1 - 1.5 * (q3 - q1)) AS whisker_low, max(a) FILTER (WHERE a <= q3 + 1.5 * (q3 - q1)) AS whisker_high
       FROM q JOIN b ON q.method = b.method GROUP BY ALL""", d="q1 median q3 whisker_low whisker_high"),

@@ -98,7 +98,7 @@ QUERIES = {
     "classify_variable": lambda s, d: C.classify_variable(coerced(s, d)),
     "clean_readings": lambda s, d: C.clean_readings(A.readings_dirty(s, d)),
     "schema_profile": lambda s, d: P.schema_profile(daily(s, d)),
-    "describe_all": lambda s, d: P.describe_all(daily(s, d).drop("utm_x", "utm_y", "magnitude_id")),
+    "describe_all": lambda s, d: P.describe_all(daily(s, d)),
     "value_counts": _counts,
     "coverage_summary": lambda s, d: P.coverage_summary(daily(s, d)),
     "interpolation_by_variable_type": lambda s, d: P.interpolation_by(daily(s, d), "variable_type"),
@@ -147,7 +147,7 @@ def _describe_sql():
     parts = []
     stats = {"count": "count(x)", "mean": "avg(x)", "std": "stddev_samp(x)", "min": "min(x)", "25%": "quantile_cont(x, 0.25)",
              "50%": "quantile_cont(x, 0.5)", "75%": "quantile_cont(x, 0.75)", "max": "max(x)"}
-    for c in ("sensor_id", "value", "year", "month", "hour", "weekday"):
+    for c in ("sensor_id", "utm_x", "utm_y", "magnitude_id", "value", "year", "month", "hour", "weekday"):
         for s, e in stats.items():
             parts.append(f"""SELECT '{c}' AS "column", '{s}' AS statistic, (SELECT CAST({e} AS DOUBLE) FROM (SELECT CAST({c} AS DOUBLE) AS x FROM daily)) AS value, NULL::VARCHAR AS text""")
     for s, e in stats.items():
