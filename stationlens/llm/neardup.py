@@ -11,8 +11,10 @@ ones o lies six standard deviations below the number that similar sets share.
 
 Long lists never make all pairs. In each round a list's members are compared with one leader;
 confirmed links join components, and a list whose members are all in one component is done.
-After the leader rounds, what is left is exact: members outside a list's largest component are
-compared with the members of other components.
+Members of lists that stay mixed after the leader rounds are listed anew by their whole sets,
+where similar texts share one of the (1 - threshold) rarest shingles: passages that many
+documents share are not among those. After leader rounds there, the rest is exact: members
+outside a list's largest component are compared with the members of other components.
 
 Defined cases: null and empty texts have an empty set and stay alone; fewer words than the
 shingle length make one shingle; rows that repeat an id are documents of their own with one id;
@@ -30,7 +32,7 @@ from pyspark.sql.types import BinaryType, DoubleType
 
 from stationlens.functions.components import contract_components
 from stationlens.llm import words as W
-from stationlens.session import checkpointed
+from stationlens.session import checkpointed, scratch_path
 
 K = 64
 SKETCH = "n long, item binary, sketch array<long>"
@@ -109,20 +111,53 @@ def overlap(shingle: int):
     return measure
 
 
-def _listed(items: DataFrame, threshold: float, k: int) -> DataFrame:
-    """(value, item, n): each item's rarest retained values, ties by value."""
-    t = threshold
-    low = max(1, math.ceil(k * t - 6 * math.sqrt(k * t * (1 - t))))
-    size = F.size("sketch")
-    # Sets so small that all their partners lie inside the sketch take the exact bound.
-    share = F.when(F.col("n") <= math.floor(t * k), F.ceil(F.col("n") * F.lit(t) - F.lit(1e-9))).otherwise(F.least(F.lit(low), F.ceil(size * F.lit(t)))).cast("int")
-    rows = items.select("item", "n", F.greatest(F.lit(1), size - share + 1).alias("p"), F.explode("sketch").alias("value"))
+def whole_set(shingle: int):
+    """A column function: text to the hashes of all its distinct shingles."""
+
+    @F.arrow_udf(returnType="array<long>")
+    def hashes(text: pa.Array) -> pa.Array:
+        values = []
+        for data, off in W.slices(text):
+            w = W.split_words(data, off)
+            h = W.word_hashes(w.vocab)[w.codes] if len(w.vocab) else np.zeros(0, np.uint64)
+            for i in range(len(off) - 1):
+                own = h[int(w.starts[i]) : int(w.starts[i + 1])]
+                values.append(np.unique(W.gram_hashes(own, min(shingle, len(own))).view(np.int64)) if len(own) else np.zeros(0, np.int64))
+        offsets = np.concatenate([[0], np.cumsum([len(v) for v in values])]).astype(np.int32)
+        return pa.ListArray.from_arrays(pa.array(offsets), pa.array(np.concatenate(values) if values else np.zeros(0, np.int64)))
+
+    return hashes.asNondeterministic()
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """``df`` from a compressed table in the shared folder."""
+    path = scratch_path(df.sparkSession, f"neardup-{name}")
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def _listed(rows: DataFrame) -> DataFrame:
+    """(value, item, n): of each item's rows (item, n, p, value) the ``p`` rarest values, ties by value."""
     often = rows.groupBy("value").agg(F.count(F.lit(1)).alias("df"))
     # A value of one item proposes nothing, but it still fills a place among the rarest.
     rare = rows.join(often, "value").groupBy("item", "n", "p").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("v"))
     return rare.select("item", "n", F.explode(F.expr("slice(v, 1, p)")).alias("v")).filter("v.df > 1").select("v.value", "item", "n")
 
 
+def _sketch_rows(items: DataFrame, t: float, k: int) -> DataFrame:
+    low = max(1, math.ceil(k * t - 6 * math.sqrt(k * t * (1 - t))))
+    size = F.size("sketch")
+    # Sets so small that all their partners lie inside the sketch take the exact bound.
+    share = F.when(F.col("n") <= math.floor(t * k), F.ceil(F.col("n") * F.lit(t) - F.lit(1e-9))).otherwise(F.least(F.lit(low), F.ceil(size * F.lit(t)))).cast("int")
+    return items.select("item", "n", F.greatest(F.lit(1), size - share + 1).alias("p"), F.explode("sketch").alias("value"))
+
+
+def _whole_rows(texts: DataFrame, t: float, shingle: int) -> DataFrame:
+    sets = texts.select("item", whole_set(shingle)("text").alias("v")).withColumn("n", F.size("v").cast("long"))
+    p = (F.col("n") - F.ceil(F.col("n") * F.lit(t) - F.lit(1e-9)) + 1).cast("int")
+    return sets.select("item", "n", p.alias("p"), F.explode("v").alias("value"))
+
+
 def _confirmed(pairs, items, texts, threshold_pct, shingle, k):
     """Links among the proposed ``pairs`` (a, b)."""
     t = threshold_pct / 100
@@ -135,60 +170,74 @@ def _confirmed(pairs, items, texts, threshold_pct, shingle, k):
     return m.filter(100 * F.col("m.both") >= threshold_pct * F.col("m.either")).select("a", "b")
 
 
-def link_components(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80, k: int = K, leader_rounds: int = 3):
-    """(rows, labels): per row of ``docs`` (doc_id, n, item), and (item, label) of all linked items."""
-    sketched = docs.select("doc_id", sketcher(shingle, k)("text").alias("s")).select("doc_id", "s.n", "s.item", "s.sketch")
-    sketched = checkpointed(sketched)
-    linked = sketched.filter("item is not null and doc_id is not null")
-    items = checkpointed(linked.groupBy("item").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch")))
-    lists = checkpointed(_listed(items, threshold_pct / 100, k))
+def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members (value, item, n, label) of the lists that still hold more than one component."""
+    state = lists.withColumn("label", F.col("item")) if labels is None else lists.join(labels, "item", "left").select("value", "item", "n", F.coalesce("label", "item").alias("label"))
+    mixed = state.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("value")
+    return _stored(state.join(mixed, "value"), "mixed")
+
+
+def _outside(state: DataFrame, turn: int) -> DataFrame:
+    """Members outside their list's largest component, with a ``leader`` (of size ``m``) from that one."""
+    sizes = state.groupBy("value", "label").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.xxhash64("item", F.lit(turn), "value").alias("h"), "item", "n")).alias("one"))
+    top = sizes.groupBy("value").agg(F.max(F.struct("c", F.col("one.h").alias("h"), F.col("label").alias("main"), F.col("one.item").alias("leader"), F.col("one.n").alias("m"))).alias("t")).select("value", "t.main", "t.leader", "t.m")
+    return state.join(top, "value").filter("label <> main")
+
+
+def link_components(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80, k: int = K, leader_rounds: tuple = (3, 2)):
+    """(rows, members): per row of ``docs`` (doc_id, n, digest), and (digest, component_id) of all texts with words."""
+    sketched = _stored(docs.select("doc_id", sketcher(shingle, k)("text").alias("s")).select("doc_id", "s.n", F.col("s.item").alias("digest"), "s.sketch"), "sketches")
+    t = threshold_pct / 100
+    linked = sketched.filter("digest is not null and doc_id is not null")
+    items = linked.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    # Numbered as it is written, so that the numbers stay what they are.
+    items = _stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
+    lists = _stored(_listed(_sketch_rows(items, t, k)), "lists")
     # Texts are looked up by the representative's id, and checked, for items that share a listed value.
-    wanted = lists.select("item").distinct().join(items.select("item", "rep"), "item")
-    found = docs.select("doc_id", "text").join(wanted.select(F.col("rep").alias("doc_id"), F.col("item").alias("_want")), "doc_id")
-    texts = checkpointed(found.withColumn("_got", digest("text")).filter("_got = _want").groupBy(F.col("_want").alias("item")).agg(F.first("text").alias("text")))
-    ratio = threshold_pct / 100 - 1e-9
+    wanted = lists.select("item").distinct().join(items.select("item", "rep", "digest"), "item")
+    found = docs.select("doc_id", "text").join(wanted.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_want"), F.col("item").alias("_item")), "doc_id")
+    texts = _stored(found.withColumn("_got", digest("text")).filter("_got = _want").groupBy(F.col("_item").alias("item")).agg(F.first("text").alias("text")), "texts")
+    links, labels, tried = None, None, None
 
     def fits(n, m):
-        return (F.col(n) >= F.col(m) * ratio) & (F.col(m) >= F.col(n) * ratio)
-
-    labels, links, tried = None, None, None
-    for turn in range(leader_rounds + 1):
-        state = lists if labels is None else lists.join(labels, "item", "left").select("value", "item", "n", F.coalesce("label", "item").alias("label"))
-        if labels is None:
-            state = state.withColumn("label", F.col("item"))
-        mixed = state.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("value")
-        state = checkpointed(state.join(mixed, "value"))
-        sizes = state.groupBy("value", "label").agg(F.count(F.lit(1)).alias("c"), F.min(F.struct(F.xxhash64("item", F.lit(turn), "value").alias("h"), "item", "n")).alias("one"))
-        top = sizes.groupBy("value").agg(F.max(F.struct("c", F.col("one.h").alias("h"), F.col("label").alias("main"), F.col("one.item").alias("leader"), F.col("one.n").alias("m"))).alias("t")).select("value", "t.main", "t.leader", "t.m")
-        rest = state.join(top, "value").filter("label <> main")
-        if turn < leader_rounds:
-            pairs = rest.filter(fits("n", "m")).select(F.least("item", "leader").alias("a"), F.greatest("item", "leader").alias("b"))
-        else:
-            other = state.select("value", F.col("item").alias("leader"), F.col("n").alias("m"), F.col("label").alias("other"))
-            pairs = rest.drop("leader", "m").join(other, "value").filter((F.col("label") != F.col("other")) & fits("n", "m")).select(F.least("item", "leader").alias("a"), F.greatest("item", "leader").alias("b"))
-        pairs = pairs.distinct()
+        return (F.col(n) >= F.col(m) * (t - 1e-9)) & (F.col(m) >= F.col(n) * (t - 1e-9))
+
+    def compare(proposed):
+        nonlocal links, labels, tried
+        pairs = proposed.filter(fits("n", "m")).select(F.least("item", "leader").alias("a"), F.greatest("item", "leader").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = checkpointed(pairs)
+        pairs = _stored(pairs, "pairs")
         if pairs.isEmpty():
-            if turn < leader_rounds:
-                continue
-            break
+            return
         good = checkpointed(_confirmed(pairs, items, texts, threshold_pct, shingle, k))
         tried = pairs if tried is None else tried.unionAll(pairs)
         links = good if links is None else links.unionAll(good)
         labels = contract_components(links, "a", "b").select(F.col("id").alias("item"), "label")
+
+    for turn in range(leader_rounds[0]):
+        compare(_outside(_mixed(lists, labels), turn))
+    open_items = _mixed(lists, labels).select("item").distinct()
+    if not open_items.isEmpty():
+        # What is open still meets by whole sets: similar texts share one of their rarest shingles.
+        lists = _stored(_listed(_whole_rows(texts.join(open_items, "item", "left_semi"), t, shingle)), "whole")
+        for turn in range(leader_rounds[1]):
+            compare(_outside(_mixed(lists, labels), turn))
+        state = _mixed(lists, labels)
+        other = state.select("value", F.col("item").alias("leader"), F.col("n").alias("m"), F.col("label").alias("other"))
+        compare(_outside(state, 0).drop("leader", "m").join(other, "value").filter((F.col("label") != F.col("other")) & fits("n", "m")))
+    members = items.select("digest", "item", "rep")
     if labels is None:
-        labels = items.select("item", F.col("item").alias("label")).filter("false")
-    return sketched.select("doc_id", "n", "item"), labels
+        return sketched.select("doc_id", "n", "digest"), members.select("digest", F.col("rep").alias("component_id"))
+    grouped = members.join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
+    least = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
+    return sketched.select("doc_id", "n", "digest"), grouped.join(least, "label").select("digest", "component_id")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80, k: int = K) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) of every row."""
-    rows, labels = link_components(docs, shingle, threshold_pct, k)
-    full = rows.join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
-    least = full.filter("label is not null and doc_id is not null").groupBy("label").agg(F.min("doc_id").alias("component_id"))
-    out = full.join(least, "label", "left")
+    rows, members = link_components(docs, shingle, threshold_pct, k)
+    out = rows.join(members, "digest", "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"), (component.isNull() | (component == F.col("doc_id"))).alias("kept"))
 
@@ -198,7 +247,10 @@ def drop_near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int =
     found = near_duplicates(docs.select("doc_id", "text"), shingle, threshold_pct)
     gone = found.filter("not kept").select("doc_id").distinct()
     again = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
-    rest = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    single = rest.join(again, "doc_id", "left_anti").select(*docs.columns)
-    repeated = rest.join(again, "doc_id", "left_semi").select(*docs.columns).groupBy("doc_id").agg(F.min(F.struct(F.col("text"), *[F.col(f"`{c}`") for c in docs.columns if c not in ("doc_id", "text")])).alias("r"))
-    return single.unionByName(repeated.select("doc_id", "r.*").select(*docs.columns))
+    every = [F.col(f"`{c}`") for c in docs.columns]
+    rest = docs.join(gone, "doc_id", "left_anti").select(*every)
+    single = rest.join(again, "doc_id", "left_anti").select(*every)
+    repeated = rest.join(again, "doc_id", "left_semi").select(*every)
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    first = F.min(F.struct(F.col("text"), *[F.col(f"`{c}`") for c in others])).alias("r")
+    return single.unionByName(repeated.groupBy("doc_id").agg(first).select("doc_id", "r.*").select(*every))
