@@ -3,7 +3,7 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stationlens.llm import decontam, langid, lm, mixing, neardup, pii, preference, quality, sharding, toxicity
+from stationlens.llm import decontam, langid, lm, mixing, neardup, pii, preference, quality, runs, sharding, spelling, toxicity, warc
 from stationlens.llm.words import documents
 
 MIX = {"weights": {"lang": {"en": 4, "de": 2, "fr": 2, "es": 1}}, "share": 0.8, "epochs": 2, "seed": 17}
@@ -58,8 +58,20 @@ def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(documents(spark, sf_dir), shingle=3, threshold_pct=85)
 
 
+def op11_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_round_trip(spark, _table(spark, sf_dir, "pages"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.run_digests(documents(spark, sf_dir))
+
+
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_variants(documents(spark, sf_dir))
+
+
 QUERIES = {
     f.__name__: f
-    for f in (op1_lm_scoring, op2_language_id, op3_decontamination, op4_toxicity, op5_mixing, op6_quality_rules, op7_pii, op8_sharding, op9_chat_preferences, op10_near_duplicates)
+    for f in (op1_lm_scoring, op2_language_id, op3_decontamination, op4_toxicity, op5_mixing, op6_quality_rules, op7_pii, op8_sharding, op9_chat_preferences, op10_near_duplicates, op11_warc, op12_periodic_runs, op13_spelling_variants)
 }
-CHECKS = {"op5_mixing": mixing.mix_sql(**MIX), "op9_chat_preferences": preference.preference_sql()}
+CHECKS = {"op5_mixing": mixing.mix_sql(**MIX), "op9_chat_preferences": preference.preference_sql(), "op11_warc": warc.round_trip_sql()}

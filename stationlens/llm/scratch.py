@@ -1,0 +1,37 @@
+"""Scratch tables in the shared folder, given back as soon as they are no longer read."""
+
+from pyspark.sql import DataFrame, SparkSession
+
+from stationlens.session import scratch_path
+
+
+class Scratch:
+    """Compressed tables of one run of an operator.
+
+    ``put`` writes a table and reads it back, which cuts lineage without tying the rows to the
+    life of an executor; ``drop`` deletes tables that later steps no longer read.
+    """
+
+    def __init__(self, spark: SparkSession, name: str):
+        self.spark, self.name, self.paths = spark, name, {}
+
+    def path(self, name: str) -> str:
+        return scratch_path(self.spark, f"{self.name}-{name}")
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        path = self.path(name)
+        df.write.option("compression", "zstd").parquet(path)
+        table = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(table)] = (path, table)
+        return table
+
+    def drop(self, *tables: DataFrame) -> None:
+        for table in tables:
+            if table is not None and id(table) in self.paths:
+                delete(self.spark, self.paths.pop(id(table))[0])
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a file or folder of any file system that Spark can write to."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

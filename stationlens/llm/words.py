@@ -73,15 +73,15 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES):
         i = j
 
 
-def split_words(data: np.ndarray, off: np.ndarray) -> Words:
-    """Words with A-Z lowered."""
+def split_words(data: np.ndarray, off: np.ndarray, lower: bool = True) -> Words:
+    """Words, with A-Z lowered unless ``lower`` is false."""
     solid = ~IS_BLANK[data]
     start = solid.copy()
     start[1:] &= ~solid[:-1]
     first = off[:-1][off[:-1] < off[1:]]
     start[first] = solid[first]
     at = np.flatnonzero(start)
-    kept = LOWER[data[solid]]
+    kept = LOWER[data[solid]] if lower else data[solid]
     index = np.cumsum(solid, dtype=np.int64)
     return _encoded(kept, np.append(index[at] - 1, kept.size), np.searchsorted(at, off))
 
