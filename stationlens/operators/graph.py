@@ -1,9 +1,10 @@
 """Graph analytics on tables of nodes and edges, for any number of graphs at once.
 
 ``nodes`` has (graph_name, id), ``edges`` (graph_name, src, dst, weights) with each undirected
-edge once. Iterative operators write several rounds as one plan and checkpoint between such
-blocks. Rounds carry a node's own state along a loop edge, so a plan refers to the state once
-per round and stays linear in the number of rounds.
+edge once. Vector iterations write several rounds as one plan and checkpoint between such blocks;
+links lie in a table bucketed by their first end, so a round moves the state alone. Rounds carry a
+node's own state along a loop edge, so a plan refers to the state once per round and stays linear
+in the number of rounds. Paths and communities are in modules of their own.
 """
 
 from functools import reduce
@@ -13,34 +14,17 @@ from pyspark.sql import functions as F
 
 from stationlens.functions.columns import ratio
 from stationlens.functions.components import contract_components
-from stationlens.functions.quantiles import attach_scalar
+from stationlens.operators.community import communities, modularity  # noqa: F401
+from stationlens.operators.links import G, Adjacency, both_ways
+from stationlens.operators.paths import average_shortest_path, betweenness, closeness, component_sizes, shortest_paths  # noqa: F401
+from stationlens.scratch import Scratch
 from stationlens.session import checkpointed
 
-G = "graph_name"
-
-
-def both_ways(edges: DataFrame, *weights: str) -> DataFrame:
-    """Each undirected edge in both directions."""
-    a = edges.select(G, "src", "dst", *weights)
-    b = edges.select(G, F.col("dst").alias("src"), F.col("src").alias("dst"), *weights)
-    return a.unionAll(b)
-
 
 def _loops(nodes, **values):
     return nodes.select(G, F.col("id").alias("src"), F.col("id").alias("dst"), *[F.lit(v).alias(k) for k, v in values.items()])
 
 
-def _sized(df, max_rows=1_000_000, rows_per_task=100_000):
-    """(table, partitions): the checkpointed table, marked for broadcast if counted to be small.
-
-    Then each round shuffles the state alone, in as many partitions as the count calls for.
-    Larger tables are left to Spark, which splits the links of a hub that holds many of them
-    (adaptive skew join); their ``partitions`` is None.
-    """
-    n = df.count()
-    return (df, None) if n > max_rows else (F.broadcast(df), max(1, n // rows_per_task))
-
-
 def _own(c):
     """Aggregate that keeps the value a node sends to itself."""
     return F.max(F.when(F.col("src") == F.col("dst"), F.col(c)))
@@ -105,10 +89,6 @@ def connected_components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.select(G, "id").join(found, [G, "id"], "left").select(G, "id", F.coalesce("component", "id").alias("component"))
 
 
-def component_sizes(components: DataFrame) -> DataFrame:
-    return components.groupBy(G, "component").agg(F.count(F.lit(1)).alias("component_size"))
-
-
 def component_summary(components: DataFrame) -> DataFrame:
     """Number of components, the largest one and whether the graph is connected."""
     return component_sizes(components).groupBy(G).agg(
@@ -117,127 +97,7 @@ def component_summary(components: DataFrame) -> DataFrame:
     )
 
 
-def shortest_paths(nodes: DataFrame, edges: DataFrame, weight: str = "distance", sources: DataFrame = None, rounds: int = 4) -> DataFrame:
-    """(graph_name, source, node, dist) for all reachable pairs, or from the given ``sources``.
-
-    Only entries that got shorter in the last block are extended in the next one.
-    """
-    links, parts = _sized(checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(nodes, w=0.0))))
-    starts = nodes.select(G, "id") if sources is None else sources.select(G, "id")
-    state = starts.select(G, F.col("id").alias("source"), F.col("id").alias("node"), F.lit(0.0).alias("dist"))
-    changed = state
-    while True:
-        reach = changed
-        for _ in range(rounds):
-            reach = (
-                links.join(reach.withColumnRenamed("node", "src"), [G, "src"])
-                .groupBy(G, "source", F.col("dst").alias("node")).agg(F.min(F.col("dist") + F.col("w")).alias("dist"))
-            )
-        both = state.withColumn("_old", F.col("dist")).unionByName(reach.withColumn("_old", F.lit(None).cast("double")))
-        merged = checkpointed(both.groupBy(G, "source", "node").agg(F.min("dist").alias("dist"), F.min("_old").alias("_old")), parts)
-        state = merged.select(G, "source", "node", "dist")
-        changed = merged.filter(F.col("_old").isNull() | (F.col("dist") < F.col("_old"))).select(state.columns)
-        if changed.isEmpty():
-            return state
-
-
-def average_shortest_path(paths: DataFrame, components: DataFrame) -> DataFrame:
-    """Mean distance between the nodes of each graph's largest component; null for a single node."""
-    first = Window.partitionBy(G).orderBy(F.desc("component_size"), "component")
-    largest = component_sizes(components).withColumn("_r", F.row_number().over(first)).filter("_r = 1")
-    members = components.join(largest.select(G, "component"), [G, "component"]).select(G, F.col("id").alias("source"))
-    inside = paths.join(members, [G, "source"], "left_semi")  # all its paths stay in the component
-    mean = inside.groupBy(G).agg(F.avg(F.when(F.col("source") != F.col("node"), F.col("dist"))).alias("average_shortest_path"))
-    return components.select(G).distinct().join(mean, G, "left")
-
-
-def closeness(nodes: DataFrame, paths: DataFrame) -> DataFrame:
-    """Closeness with the share of reachable nodes as a factor."""
-    sizes = nodes.groupBy(G).agg(F.count(F.lit(1)).alias("_n"))
-    per = paths.groupBy(G, F.col("node").alias("id")).agg((F.count(F.lit(1)) - 1).alias("_r"), F.sum("dist").alias("_s"))
-    value = F.when((F.col("_s") > 0) & (F.col("_n") > 1), F.col("_r") / F.col("_s") * F.col("_r") / (F.col("_n") - 1)).otherwise(0.0)
-    return nodes.select(G, "id").join(per, [G, "id"], "left").join(sizes, G).select(G, "id", F.coalesce(value, F.lit(0.0)).alias("closeness_centrality"))
-
-
-def _depth_of_ties(paths, dag, ties):
-    """(graph_name, source, node, depth): how many edges of distance 0 in a row lead to a node.
-
-    The source and nodes that an edge of positive length reaches have depth 0, others one more
-    than the shallowest neighbour at distance 0.
-    """
-    key = [G, "source", "node"]
-    reached = dag.filter("not _tie").select(G, "source", F.col("dst").alias("node"))
-    known = checkpointed(paths.filter("source = node").select(*key).unionByName(reached).distinct().withColumn("depth", F.lit(0)))
-    front = known
-    while not front.isEmpty():
-        step = ties.join(front.withColumnRenamed("node", "src"), [G, "source", "src"]).groupBy(G, "source", F.col("dst").alias("node")).agg((F.min("depth") + 1).alias("depth"))
-        front = checkpointed(step.join(known, key, "left_anti"))
-        known = checkpointed(known.unionByName(front))
-    return known
-
-
-def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame, weight: str = "distance", rounds: int = 6) -> DataFrame:
-    """Share of shortest paths through each node, weighted, normalised, end points excluded.
-
-    For each source the edges on shortest paths form an acyclic graph. Path counts flow forward
-    along it and dependencies flow back, one hop per round, for all sources of all graphs at once.
-    An edge of distance 0 joins nodes of one distance; it counts in the direction away from the
-    nodes that edges of positive length reach (see ``_depth_of_ties``), so no cycle is left.
-    """
-    d = paths.select(G, "source", F.col("node").alias("src"), F.col("dist").alias("du"))
-    e = paths.select(G, "source", F.col("node").alias("dst"), F.col("dist").alias("dv"))
-    dag = checkpointed(
-        both_ways(edges, weight).join(d, [G, "src"]).join(e, [G, "source", "dst"])
-        .filter(F.col("du") + F.col(weight) == F.col("dv")).select(G, "source", "src", "dst", (F.col(weight) == 0).alias("_tie"))
-    )
-    ties = dag.filter("_tie").drop("_tie")
-    if not ties.isEmpty():
-        depth = _depth_of_ties(paths, dag, ties)
-        deeper = ties.join(depth.withColumnRenamed("node", "src").withColumnRenamed("depth", "_a"), [G, "source", "src"]).join(
-            depth.withColumnRenamed("node", "dst").withColumnRenamed("depth", "_b"), [G, "source", "dst"]
-        ).filter("_b > _a").select(G, "source", "src", "dst")
-        dag = checkpointed(dag.filter("not _tie").drop("_tie").unionByName(deeper))
-    else:
-        dag = dag.drop("_tie")
-    loops = paths.select(G, "source", F.col("node").alias("src"), F.col("node").alias("dst"))
-    key = [G, "source", "src"]
-
-    def flow(sized, state):
-        """Send ``x`` along ``links`` until nothing moves; ``acc`` sums all that arrived."""
-        links, parts = sized
-        while True:
-            step = state
-            for _ in range(rounds):
-                self_ = F.col("src") == F.col("dst")
-                step = (
-                    links.join(step, key)
-                    .groupBy(G, "source", F.col("dst"))
-                    .agg(F.sum(F.when(self_, 0.0).otherwise(F.col("x") * F.col("c"))).alias("x"), F.sum(F.when(self_, F.col("acc")).otherwise(0.0)).alias("acc"))
-                    .select(G, "source", F.col("dst").alias("src"), "x", (F.col("acc") + F.col("x")).alias("acc"))
-                )
-            state = checkpointed(step, parts)
-            if state.filter("x > 0").isEmpty():
-                return state
-
-    one = F.lit(1.0)
-    at_source = F.when(F.col("source") == F.col("node"), 1.0).otherwise(0.0)
-    forward = _sized(checkpointed(dag.withColumn("c", one).unionByName(loops.withColumn("c", one))))
-    sigma = flow(forward, paths.select(G, "source", F.col("node").alias("src"), at_source.alias("x"), at_source.alias("acc"))).select(*key, F.col("acc").alias("s"))
-    back = (
-        dag.join(sigma.withColumnRenamed("s", "su"), key)
-        .join(sigma.select(G, "source", F.col("src").alias("dst"), F.col("s").alias("sv")), [G, "source", "dst"])
-        .select(G, "source", F.col("dst").alias("src"), F.col("src").alias("dst"), (F.col("su") / F.col("sv")).alias("c"))
-    )
-    backward = _sized(checkpointed(back.unionByName(loops.withColumn("c", one))))
-    start = F.when(F.col("source") == F.col("node"), 0.0).otherwise(1.0)
-    delta = flow(backward, paths.select(G, "source", F.col("node").alias("src"), start.alias("x"), F.lit(0.0).alias("acc")))
-    sums = delta.filter("source <> src").groupBy(G, F.col("src").alias("id")).agg(F.sum("acc").alias("_b"))
-    sizes = nodes.groupBy(G).agg(F.count(F.lit(1)).cast("double").alias("_n"))
-    value = F.try_divide(F.coalesce("_b", F.lit(0.0)), (F.col("_n") - 1) * (F.col("_n") - 2))
-    return nodes.select(G, "id").join(sums, [G, "id"], "left").join(sizes, G).select(G, "id", F.coalesce(value, F.lit(0.0)).alias("betweenness_centrality"))
-
-
-def _iterate(state, step, sizes, tol, max_rounds, block, normalise, parts):
+def _iterate(state, step, sizes, tol, max_rounds, block, normalise):
     """Run ``step`` until each graph's vector moves less than n * tol in total.
 
     ``step`` turns (graph_name, src, x, hist, extras) into the next round. Returns
@@ -249,7 +109,7 @@ def _iterate(state, step, sizes, tol, max_rounds, block, normalise, parts):
         run = state.withColumn("hist", F.array("x"))
         for _ in range(n):
             run = step(run)
-        run = checkpointed(run, parts)
+        run = checkpointed(run)
         rows = run.select(G, F.col("src").alias("id"), F.posexplode("hist").alias("t", "y"))
         if normalise:
             norms = rows.groupBy(G, "t").agg(F.sqrt(F.sum(F.col("y") * F.col("y"))).alias("_norm"))
@@ -257,14 +117,12 @@ def _iterate(state, step, sizes, tol, max_rounds, block, normalise, parts):
             rows = rows.join(norms, [G, "t"]).withColumn("y", F.col("y") / scale)
         w = Window.partitionBy(G, "id").orderBy("t")  # one row per round of this block
         moved = rows.withColumn("_m", F.abs(F.col("y") - F.lag("y").over(w))).filter("t > 0").groupBy(G, "t").agg(F.sum("_m").alias("_m"))
-        stops = checkpointed(
-            moved.join(sizes, G).filter(F.col("_m") < F.col("n") * tol).groupBy(G).agg(F.min("t").alias("t")), parts
-        )
+        stops = checkpointed(moved.join(sizes, G).filter(F.col("_m") < F.col("n") * tol).groupBy(G).agg(F.min("t").alias("t")))
         settled.append(rows.join(stops, [G, "t"]).select(G, "id", F.col("y").alias("x")))
         last = rows.filter(F.col("t") == n).join(stops, G, "left_anti").select(G, F.col("id").alias("src"), F.col("y").alias("x"))
         extras = [c for c in state.columns if c not in (G, "src", "x")]
         state = last.join(run.select(G, "src", *extras), [G, "src"]) if extras else last
-        state = checkpointed(state, parts)
+        state = checkpointed(state)
         done += n
         if state.isEmpty():
             break
@@ -276,16 +134,16 @@ def eigenvector_centrality(nodes: DataFrame, edges: DataFrame, weight: str, tol:
     active = edges.select(G).distinct()
     members = nodes.select(G, "id").join(active, G, "left_semi")
     sizes = checkpointed(members.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
-    links, parts = _sized(checkpointed(both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(members, w=1.0))))
+    links = Adjacency(Scratch(nodes.sparkSession, "eigen"), both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(members, w=1.0)))
 
     def step(s):
         return (
-            links.join(s, [G, "src"]).groupBy(G, "dst").agg(F.sum(F.col("w") * F.col("x")).alias("x"), _own("hist").alias("hist"))
+            links.meet(s).groupBy(G, "dst").agg(F.sum(F.col("w") * F.col("x")).alias("x"), _own("hist").alias("hist"))
             .select(G, F.col("dst").alias("src"), "x", F.concat("hist", F.array("x")).alias("hist"))
         )
 
     start = members.join(sizes, G).select(G, F.col("id").alias("src"), (1 / F.col("n")).alias("x"))
-    found = _iterate(start, step, sizes, tol, max_rounds, block, True, parts)
+    found = _iterate(start, step, sizes, tol, max_rounds, block, True)
     value = F.when(F.col("_active").isNull(), 0.0).otherwise(F.col("x"))
     return nodes.select(G, "id").join(found, [G, "id"], "left").join(active.withColumn("_active", F.lit(1)), G, "left").select(G, "id", value.alias("eigenvector_centrality"))
 
@@ -296,14 +154,13 @@ def pagerank(nodes: DataFrame, edges: DataFrame, weight: str, damping: float = 0
     sizes = checkpointed(nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
     linked = out.groupBy(G).agg(F.count(F.lit(1)).alias("_linked"))
     facts = sizes.join(linked, G, "left").select(G, "n", (F.col("n") - F.coalesce("_linked", F.lit(0))).alias("alone"))
-    links, parts = _sized(checkpointed(
-        both_ways(edges, weight).join(out, [G, "src"]).select(G, "src", "dst", (F.col(weight) / F.col("_s")).alias("w")).unionAll(_loops(nodes, w=0.0))
-    ))
+    shares = both_ways(edges, weight).join(out, [G, "src"]).select(G, "src", "dst", (F.col(weight) / F.col("_s")).alias("w"))
+    links = Adjacency(Scratch(nodes.sparkSession, "pagerank"), shares.unionAll(_loops(nodes, w=0.0)))
     # All nodes without links share one value, which is all that is spread evenly: it needs no sum.
     base = (1 - damping) / F.col("n") + damping * F.col("alone") * F.col("z") / F.col("n")
 
     def step(s):
-        summed = links.join(s, [G, "src"]).groupBy(G, "dst").agg(
+        summed = links.meet(s).groupBy(G, "dst").agg(
             F.sum(F.col("w") * F.col("x")).alias("_in"), *[_own(c).alias(c) for c in ("hist", "n", "alone", "z")]
         )
         return summed.withColumn("z", base).withColumn("x", damping * F.col("_in") + F.col("z")).select(
@@ -311,97 +168,10 @@ def pagerank(nodes: DataFrame, edges: DataFrame, weight: str, damping: float = 0
         )
 
     start = nodes.select(G, "id").join(facts, G).select(G, F.col("id").alias("src"), (1 / F.col("n")).alias("x"), "n", "alone", (1 / F.col("n")).alias("z"))
-    found = _iterate(start, step, sizes, tol, max_rounds, block, False, parts)
+    found = _iterate(start, step, sizes, tol, max_rounds, block, False)
     return nodes.select(G, "id").join(found, [G, "id"], "left").select(G, "id", F.col("x").alias("pagerank"))
 
 
-def modularity(edges: DataFrame, membership: DataFrame, weight: str) -> DataFrame:
-    """Modularity of the partition ``membership`` = (graph_name, id, community)."""
-    m = membership.select(G, F.col("id").alias("src"), F.col("community").alias("_cs"))
-    n = membership.select(G, F.col("id").alias("dst"), F.col("community").alias("_cd"))
-    e = both_ways(edges, weight).join(m, [G, "src"]).join(n, [G, "dst"])
-    per = e.groupBy(G, "_cs").agg(F.sum(weight).alias("_k"), F.sum(F.when(F.col("_cs") == F.col("_cd"), F.col(weight)).otherwise(0.0)).alias("_in"))
-    total = per.groupBy(G).agg(F.sum("_k").alias("_2m"))
-    share = F.col("_k") / F.col("_2m")
-    return per.join(total, G).groupBy(G).agg(F.sum(F.col("_in") / F.col("_2m") - share * share).alias("modularity"))
-
-
-def _local_moves(links, strength, seed, max_rounds):
-    """Move nodes to the neighbouring community of highest gain until two rounds pass without a move.
-
-    ``links`` (graph_name, src, dst, w, k, m2) and ``strength`` (graph_name, id, k, m2) carry the
-    strength of the moving node and the total of their graph. In each round only one half of the
-    nodes may move, so that neighbours do not swap places.
-    """
-    state = checkpointed(strength.select(G, "id", F.col("id").alias("c"), "k", "m2", F.lit(False).alias("moved")))
-    between, parts = _sized(checkpointed(links.filter("src <> dst")))
-    quiet = 0
-    for r in range(max_rounds):
-        sums = state.groupBy(G, "c").agg(F.sum("k").alias("_tot"))
-        near = between.join(state.select(G, F.col("id").alias("dst"), "c"), [G, "dst"]).select(G, F.col("src").alias("id"), "c", "w", "k", "m2", F.lit(False).alias("_now"))
-        stay = state.select(G, "id", "c", F.lit(0.0).alias("w"), "k", "m2", F.lit(True).alias("_now"))
-        options = near.unionByName(stay).groupBy(G, "id", "c").agg(
-            F.sum("w").alias("w"), F.max("k").alias("k"), F.max("m2").alias("m2"), F.max("_now").alias("_now")
-        )
-        others = F.col("_tot") - F.when(F.col("_now"), F.col("k")).otherwise(0.0)
-        rated = options.join(sums, [G, "c"]).withColumn("_g", F.col("w") - F.col("k") * others / F.col("m2"))
-        best = rated.groupBy(G, "id").agg(
-            F.max(F.struct(F.col("_g").alias("gain"), (-F.col("c")).alias("neg"))).alias("_best"),
-            F.max(F.when(F.col("_now"), F.struct(F.col("_g").alias("gain"), F.col("c").alias("c")))).alias("_own"),
-            F.max("k").alias("k"), F.max("m2").alias("m2"),
-        )
-        turn = F.pmod(F.xxhash64("id", F.lit(seed + r // 2)), F.lit(2)) == (r % 2)
-        go = turn & (F.col("_best.gain") > F.col("_own.gain") + 1e-9 * F.col("m2"))
-        state = checkpointed(best.select(G, "id", F.when(go, -F.col("_best.neg")).otherwise(F.col("_own.c")).alias("c"), "k", "m2", go.alias("moved")), parts)
-        quiet = quiet + 1 if state.filter("moved").isEmpty() else 0
-        if quiet == 2:
-            break
-    return state.select(G, "id", "c")
-
-
-def communities(nodes: DataFrame, edges: DataFrame, weight: str, seed: int = 42, min_gain: float = 1e-7, max_levels: int = 10, max_rounds: int = 10) -> DataFrame:
-    """Louvain communities: (graph_name, id, community_id, community_size, modularity, community_algorithm).
-
-    Local moves and contraction alternate until modularity no longer grows; a level that does
-    not improve a graph is not taken. Graphs without edges get one community per node.
-    """
-    active = checkpointed(edges.select(G).distinct())
-    members = checkpointed(nodes.select(G, F.col("id").cast("long").alias("id"), F.col("id").cast("long").alias("community")))
-    plain = checkpointed(edges.select(G, F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"), F.col(weight).alias("w")))
-    links = checkpointed(both_ways(plain, "w"))
-    total = checkpointed(links.groupBy(G).agg(F.sum("w").alias("m2")))
-    best = checkpointed(modularity(plain, members, "w"))
-    open_graphs = active
-    for level in range(max_levels):
-        current = links.join(open_graphs, G, "left_semi")
-        strength = checkpointed(current.groupBy(G, F.col("src").alias("id")).agg(F.sum("w").alias("k")).join(total, G))
-        rated = current.join(strength.withColumnRenamed("id", "src"), [G, "src"])
-        moves = _local_moves(rated, strength, seed + level, max_rounds)
-        renamed = moves.select(G, F.col("id").alias("community"), F.col("c").alias("_new"))
-        tried = members.join(renamed, [G, "community"], "left").select(G, "id", F.coalesce("_new", "community").alias("community"))
-        tried = checkpointed(tried)
-        score = modularity(plain, tried, "w").withColumnRenamed("modularity", "_q")
-        compared = checkpointed(best.join(score, G).withColumn("_up", F.col("_q") > F.col("modularity") + min_gain))
-        open_graphs = compared.filter("_up").select(G)
-        if open_graphs.isEmpty():
-            break
-        best = compared.select(G, F.when(F.col("_up"), F.col("_q")).otherwise(F.col("modularity")).alias("modularity"))
-        kept = members.join(open_graphs, G, "left_anti").unionByName(tried.join(open_graphs, G, "left_semi"))
-        members = checkpointed(kept)
-        a = moves.select(G, F.col("id").alias("src"), F.col("c").alias("_a"))
-        b = moves.select(G, F.col("id").alias("dst"), F.col("c").alias("_b"))
-        joined = current.join(open_graphs, G, "left_semi").join(a, [G, "src"]).join(b, [G, "dst"])
-        links = checkpointed(joined.groupBy(G, F.col("_a").alias("src"), F.col("_b").alias("dst")).agg(F.sum("w").alias("w")))
-    groups = members.groupBy(G, "community").agg(F.min("id").alias("_first"), F.count(F.lit(1)).alias("community_size"))
-    number = Window.partitionBy(G).orderBy("_first")  # one row per community
-    groups = groups.withColumn("community_id", F.row_number().over(number) - 1)
-    has_edges = F.col("_active").isNotNull()
-    return (
-        members.join(groups, [G, "community"]).join(best, G, "left").join(active.withColumn("_active", F.lit(1)), G, "left")
-        .select(G, "id", "community_id", "community_size", F.when(has_edges, F.col("modularity")).alias("modularity"), F.when(has_edges, "louvain").otherwise("none").alias("community_algorithm"))
-    )
-
-
 def graph_summary(nodes: DataFrame, edges: DataFrame, components: DataFrame, paths: DataFrame, attributes=(), weight: str = None) -> DataFrame:
     """Size, density, degrees, components, clustering and mean path length per graph.
 

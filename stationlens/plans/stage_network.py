@@ -2,8 +2,11 @@
 
 from pyspark.sql import functions as F
 
+from stationlens.operators import community as C
 from stationlens.operators import corrnet as H
+from stationlens.operators import distances as D
 from stationlens.operators import graph as N
+from stationlens.operators import paths as P
 from stationlens.operators import spatial as G
 from stationlens.plans import adapters as A
 from stationlens.plans.base import check_sql, present
@@ -19,7 +22,7 @@ ATTRIBUTES = ["method", "threshold_m", "k"]
 
 def thresholds(s, d):
     """The distance thresholds: at most four numbers."""
-    q = stored(s, d, "distance_quantiles", lambda s, d: G.distance_quantiles(G.pairwise_distances(A.stations(s, d))))
+    q = stored(s, d, "distance_quantiles", lambda s, d: D.pair_distance_quantiles(A.stations(s, d)))
     return sorted({r.threshold_m for r in q.select("threshold_m").collect()})
 
 
@@ -97,6 +100,10 @@ def groups(s, d, kind="spatial"):
     return stored(s, d, f"{kind}_communities", lambda s, d: N.communities(nodes(s, d), edges(s, d), "similarity" if kind == "spatial" else "weight"))
 
 
+def profile(s, d):
+    return stored(s, d, "spatial_profile", lambda s, d: P.distance_profile(spatial_nodes(s, d), spatial_edges(s, d), bands=2.0))
+
+
 def selected(s, d):
     return N.select_graph(summary(s, d))
 
@@ -132,7 +139,7 @@ QUERIES = {
     "sensor_mean_first_available": lambda s, d: G.sensor_mean_first_available(daily(s, d)),
     "sensor_coordinates": lambda s, d: G.sensor_coordinates(daily(s, d)),
     "pairwise_distances": lambda s, d: G.pairwise_distances(A.stations(s, d)),
-    "distance_quantiles": lambda s, d: G.distance_quantiles(G.pairwise_distances(A.stations(s, d))),
+    "distance_quantiles": lambda s, d: D.pair_distance_quantiles(A.stations(s, d)),
     "threshold_graph": lambda s, d: G.threshold_graph(A.stations(s, d), thresholds(s, d)),
     "knn_graph": lambda s, d: G.knn_graph(A.stations(s, d), KS),
     "underfull_sensors": lambda s, d: G.underfull_sensors(A.stations(s, d), (3, 5000)),
@@ -156,6 +163,9 @@ QUERIES = {
     "shortest_paths": paths,
     "average_shortest_path": lambda s, d: N.average_shortest_path(paths(s, d), components(s, d)),
     "closeness": lambda s, d: N.closeness(spatial_nodes(s, d), paths(s, d)),
+    "closeness_estimated": lambda s, d: P.closeness_estimated(spatial_nodes(s, d), profile(s, d)),
+    "average_shortest_path_estimated": lambda s, d: P.average_shortest_path_estimated(profile(s, d), components(s, d)),
+    "betweenness_sampled": lambda s, d: N.betweenness(spatial_nodes(s, d), spatial_edges(s, d), samples=64),
     "graph_summary": summary,
     "graph_summary_correlation": lambda s, d: summary(s, d, "correlation"),
     "select_graph": selected,
@@ -169,6 +179,8 @@ QUERIES = {
     "overlay_nodes": lambda s, d: H.overlay_nodes(spatial_nodes(s, d), corr_nodes(s, d), A.stations(s, d)),
     "communities": groups,
     "communities_correlation": lambda s, d: groups(s, d, "correlation"),
+    "community_quality": lambda s, d: C.partition_quality(spatial_edges(s, d), groups(s, d), "similarity"),
+    "community_quality_correlation": lambda s, d: C.partition_quality(corr_edges(s, d), groups(s, d, "correlation"), "weight"),
     "community_jaccard": lambda s, d: H.community_jaccard(N.selected_table(groups(s, d), selected(s, d)), _corr_groups(s, d)),
     "eigenvector_centrality": eigen,
     "pagerank": lambda s, d: N.pagerank(spatial_nodes(s, d), spatial_edges(s, d), "similarity"),
@@ -180,6 +192,32 @@ QUERIES = {
 }
 QUERIES = {k: (lambda s, d, f=f: present(f(s, d))) for k, f in QUERIES.items()}
 
+_COMPONENTS = """WITH RECURSIVE reach AS (SELECT graph_name, id, id AS other FROM {n} UNION SELECT r.graph_name, r.id, e.dst FROM reach r JOIN {both} e ON e.graph_name = r.graph_name AND e.src = r.other)
+  SELECT graph_name, id, min(other) AS component FROM reach GROUP BY 1, 2"""
+_PATHS = """WITH RECURSIVE d(graph_name, source, node, dist) USING KEY (graph_name, source, node) AS (SELECT graph_name, id, id, 0.0::DOUBLE FROM {n}
+  UNION SELECT d.graph_name, d.source, e.dst, min(d.dist + e.distance) FROM d JOIN {w} e ON e.graph_name = d.graph_name AND e.src = d.node
+    LEFT JOIN recurring.d r ON r.graph_name = d.graph_name AND r.source = d.source AND r.node = e.dst WHERE r.dist IS NULL OR d.dist + e.distance < r.dist GROUP BY 1, 2, 3)
+  SELECT * FROM d"""
+_MEAN_PATH = """SELECT graph_name, avg(dist) AS l FROM {p} p JOIN (SELECT graph_name, id FROM {c} c JOIN (SELECT graph_name, component, row_number() OVER (PARTITION BY graph_name ORDER BY count(*) DESC, component) AS r
+    FROM {c} GROUP BY 1, 2) USING (graph_name, component) WHERE r = 1) m USING (graph_name) WHERE m.id = p.source AND p.source <> p.node GROUP BY 1"""
+_SUMMARY = """WITH deg AS (SELECT n.graph_name, {attrs}, n.id, count(e.src) AS deg FROM {n} n LEFT JOIN {both} e ON e.graph_name = n.graph_name AND e.src = n.id GROUP BY ALL),
+  base AS (SELECT graph_name, {attrs}, count(*) AS n_nodes, CAST(sum(deg) / 2 AS BIGINT) AS n_edges, avg(deg) AS average_degree, min(deg) AS min_degree, max(deg) AS max_degree FROM deg GROUP BY ALL),
+  comp AS (SELECT graph_name, count(*) = 1 AS is_connected, count(*) AS n_connected_components, max(s) AS largest_component_size FROM (SELECT graph_name, component, count(*) AS s FROM {c} GROUP BY 1, 2) GROUP BY 1),
+  cl AS (SELECT graph_name, coalesce(avg(clustering_coefficient), 0) AS average_clustering FROM ({clus}) GROUP BY 1), pl AS (""" + _MEAN_PATH + """)
+  SELECT base.*, CASE WHEN n_nodes > 1 THEN 2 * n_edges / (n_nodes * (n_nodes - 1))::DOUBLE ELSE 0 END AS density, is_connected, n_connected_components, largest_component_size, average_clustering,
+    CASE WHEN n_edges > 0 THEN l END AS average_shortest_path_largest_component
+  FROM base LEFT JOIN comp USING (graph_name) LEFT JOIN cl USING (graph_name) LEFT JOIN pl USING (graph_name)"""
+
+
+def _clustering(n, edges, w):
+    weight = "1.0::DOUBLE" if w is None else f"{w} / max({w}) OVER (PARTITION BY graph_name)"
+    t = "count(*)::DOUBLE" if w is None else "sum((x.w * y.w * z.w) ** (1.0::DOUBLE / 3))"
+    return f"""WITH e AS (SELECT graph_name, src, dst, {weight} AS w FROM {edges}), b AS (SELECT * FROM e UNION ALL SELECT graph_name, dst, src, w FROM e),
+      t AS (SELECT x.graph_name, x.src AS id, {t} AS t FROM b x JOIN b y ON x.graph_name = y.graph_name AND x.src = y.src AND x.dst < y.dst JOIN e z ON z.graph_name = x.graph_name AND z.src = x.dst AND z.dst = y.dst GROUP BY 1, 2),
+      d AS (SELECT graph_name, src AS id, count(*) AS d FROM b GROUP BY 1, 2)
+      SELECT n.graph_name, n.id, coalesce(2 * t / (d * (d - 1)), 0) AS clustering_coefficient FROM {n} n LEFT JOIN d ON d.graph_name = n.graph_name AND d.id = n.id LEFT JOIN t ON t.graph_name = n.graph_name AND t.id = n.id"""
+
+
 _DIST = "sqrt((a.utm_x - b.utm_x) * (a.utm_x - b.utm_x) + (a.utm_y - b.utm_y) * (a.utm_y - b.utm_y))"
 CTES = {
     "dists": f"SELECT a.sensor_id AS sensor_id_1, a.sensor_name AS sensor_name_1, b.sensor_id AS sensor_id_2, b.sensor_name AS sensor_name_2, {_DIST} AS distance_m FROM stations a JOIN stations b ON a.sensor_id < b.sensor_id",
@@ -206,6 +244,25 @@ CTES = {
       greatest(1 - correlation, 0) AS distance FROM prs JOIN levels ON correlation >= threshold""",
     "co_n": "SELECT magnitude_name || '_corr_' || printf('%.2f', threshold) AS graph_name, magnitude_name AS magnitude, threshold, sensor_id AS id FROM cov CROSS JOIN levels",
     "co_both": "SELECT graph_name, src, dst, weight FROM co_e UNION ALL SELECT graph_name, dst, src, weight FROM co_e",
+    "sp_w": "SELECT graph_name, src, dst, distance FROM sp_e UNION ALL SELECT graph_name, dst, src, distance FROM sp_e",
+    "sp_p": _PATHS.format(n="sp_n", w="sp_w"),
+    "sp_c": _COMPONENTS.format(n="sp_n", both="sp_both"),
+    "sp_s": _SUMMARY.format(attrs="method, threshold_m, k", n="(SELECT * FROM sp_n JOIN sp_g USING (graph_name))", both="sp_both", c="sp_c", p="sp_p", clus=_clustering("sp_n", "sp_e", None)),
+    "sp_sel": """SELECT * FROM (SELECT *, CASE WHEN method = 'knn' AND is_connected THEN 0 WHEN graph_name = 'knn_k3' THEN 1 ELSE 2 END AS fit FROM sp_s)
+      ORDER BY fit, CASE WHEN fit = 0 THEN k END NULLS FIRST, graph_name LIMIT 1""",
+    "co_w": "SELECT graph_name, src, dst, distance FROM co_e UNION ALL SELECT graph_name, dst, src, distance FROM co_e",
+    "co_p": _PATHS.format(n="co_n", w="co_w"),
+    "co_c": _COMPONENTS.format(n="co_n", both="co_both"),
+    "co_s": _SUMMARY.format(attrs="magnitude, threshold", n="co_n", both="co_both", c="co_c", p="co_p", clus=_clustering("co_n", "co_e", "weight")),
+    "co_sel": """SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY magnitude ORDER BY is_connected DESC, CASE WHEN is_connected THEN threshold END DESC NULLS LAST, largest_component_size DESC, threshold) AS r FROM co_s) WHERE r = 1""",
+    "btw": """WITH RECURSIVE tight AS (SELECT e.graph_name, a.source, e.src AS u, e.dst AS v FROM sp_w e JOIN sp_p a ON a.graph_name = e.graph_name AND a.node = e.src
+        JOIN sp_p b ON b.graph_name = e.graph_name AND b.source = a.source AND b.node = e.dst WHERE a.dist + e.distance = b.dist),
+      walk(graph_name, source, node, via) AS (SELECT graph_name, id, id, []::BIGINT[] FROM sp_n
+        UNION ALL SELECT w.graph_name, w.source, t.v, CASE WHEN w.node = w.source THEN w.via ELSE list_append(w.via, w.node::BIGINT) END FROM walk w JOIN tight t ON t.graph_name = w.graph_name AND t.source = w.source AND t.u = w.node),
+      shared AS (SELECT graph_name, unnest(via) AS id, 1 / ways AS part FROM (SELECT *, count(*) OVER (PARTITION BY graph_name, source, node)::DOUBLE AS ways FROM walk)),
+      sums AS (SELECT graph_name, id, sum(part) AS b FROM shared GROUP BY 1, 2)
+      SELECT n.graph_name, n.id, coalesce(b, 0) / nullif((count(*) OVER (PARTITION BY n.graph_name) - 1) * (count(*) OVER (PARTITION BY n.graph_name) - 2), 0)::DOUBLE AS betweenness_centrality
+      FROM sp_n n LEFT JOIN sums s ON s.graph_name = n.graph_name AND s.id = n.id""",
     "overlay": """SELECT coalesce(s.src, c.src) AS src, coalesce(s.dst, c.dst) AS dst, CASE WHEN s.src IS NULL THEN 'correlation_only' WHEN c.src IS NULL THEN 'spatial_only' ELSE 'shared' END AS edge_class
       FROM (SELECT src, dst FROM knn_e WHERE k = 2) s FULL JOIN (SELECT src, dst FROM co_e WHERE magnitude = 'NO2' AND threshold = 0.1::DOUBLE) c ON s.src = c.src AND s.dst = c.dst""",
 }
@@ -215,22 +272,11 @@ def _c(body, **kw):
     return check_sql(body, ctes=CTES, **kw)
 
 
-def _components(n, both):
-    return f"""WITH RECURSIVE reach AS (SELECT graph_name, id, id AS other FROM {n} UNION SELECT r.graph_name, r.id, e.dst FROM reach r JOIN {both} e ON e.graph_name = r.graph_name AND e.src = r.other)
-      SELECT graph_name, id, min(other) AS component FROM reach GROUP BY 1, 2"""
-
-
-def _clustering(n, edges, w):
-    weight = "1.0::DOUBLE" if w is None else f"{w} / max({w}) OVER (PARTITION BY graph_name)"
-    t = "count(*)::DOUBLE" if w is None else "sum((x.w * y.w * z.w) ** (1.0::DOUBLE / 3))"
-    return f"""WITH e AS (SELECT graph_name, src, dst, {weight} AS w FROM {edges}), b AS (SELECT * FROM e UNION ALL SELECT graph_name, dst, src, w FROM e),
-      t AS (SELECT x.graph_name, x.src AS id, {t} AS t FROM b x JOIN b y ON x.graph_name = y.graph_name AND x.src = y.src AND x.dst < y.dst JOIN e z ON z.graph_name = x.graph_name AND z.src = x.dst AND z.dst = y.dst GROUP BY 1, 2),
-      d AS (SELECT graph_name, src AS id, count(*) AS d FROM b GROUP BY 1, 2)
-      SELECT n.graph_name, n.id, coalesce(2 * t / (d * (d - 1)), 0) AS clustering_coefficient FROM {n} n LEFT JOIN d ON d.graph_name = n.graph_name AND d.id = n.id LEFT JOIN t ON t.graph_name = n.graph_name AND t.id = n.id"""
-
-
 _DEG = """SELECT n.graph_name, n.id, count(e.src) AS degree, count(e.src) / (count(*) OVER (PARTITION BY n.graph_name) - 1)::DOUBLE AS degree_centrality
   FROM sp_n n LEFT JOIN sp_both e ON e.graph_name = n.graph_name AND e.src = n.id GROUP BY 1, 2"""
+_SUM = "density average_degree average_clustering average_shortest_path_largest_component"
+_COUNTS = "n_nodes n_edges min_degree max_degree n_connected_components largest_component_size"
+_SIX = "n_nodes, n_edges, density, average_degree, n_connected_components, largest_component_size"
 _SE = dict(d="distance similarity", i="threshold_m k src dst")
 CHECKS = {
     "write_graph_read_graph": _c("""SELECT g.*, (SELECT count(*) FROM stations) AS n_nodes, n_edges, total_distance FROM sp_g g LEFT JOIN
@@ -256,13 +302,29 @@ CHECKS = {
     "correlation_pairs": _c("""SELECT magnitude_name, sensor_id_1, 'station_' || sensor_id_1 || ' (' || sensor_id_1 || ')' AS sensor_name_1, sensor_id_2, 'station_' || sensor_id_2 || ' (' || sensor_id_2 || ')' AS sensor_name_2,
       correlation, abs(correlation) AS absolute_correlation FROM prs WHERE correlation IS NOT NULL""", d="correlation absolute_correlation", i="sensor_id_1 sensor_id_2"),
     "correlation_threshold_graph": _c("SELECT * FROM co_e", d="threshold weight distance", i="src dst"),
-    "connected_components": _c(_components("sp_n", "sp_both"), i="id component"),
-    "connected_components_correlation": _c(_components("co_n", "co_both"), i="id component"),
+    "connected_components": _c("SELECT * FROM sp_c", i="id component"),
+    "connected_components_correlation": _c("SELECT * FROM co_c", i="id component"),
     "clustering": _c(_clustering("sp_n", "sp_e", None), d="clustering_coefficient", i="id"),
     "clustering_weighted": _c(_clustering("co_n", "co_e", "weight"), d="clustering_coefficient", i="id"),
     "weighted_degree": _c("SELECT n.graph_name, n.id, coalesce(sum(weight), 0) AS weighted_degree FROM co_n n LEFT JOIN co_both e ON e.graph_name = n.graph_name AND e.src = n.id GROUP BY 1, 2", d="weighted_degree", i="id"),
     "modularity": _c("""SELECT graph_name, sum(inside / total - (k / total) ** 2) AS modularity FROM (SELECT *, sum(k) OVER (PARTITION BY graph_name) AS total FROM (
       SELECT graph_name, src % 2 AS c, sum(weight) AS k, coalesce(sum(weight) FILTER (WHERE src % 2 = dst % 2), 0) AS inside FROM co_both GROUP BY 1, 2)) GROUP BY 1""", d="modularity"),
+    "shortest_paths": _c("SELECT * FROM sp_p", d="dist", i="source node"),
+    "average_shortest_path": _c("SELECT graph_name, l AS average_shortest_path FROM sp_g LEFT JOIN (" + _MEAN_PATH.format(p="sp_p", c="sp_c") + ") USING (graph_name)", d="average_shortest_path"),
+    "closeness": _c("""SELECT n.graph_name, n.id, CASE WHEN s > 0 AND total > 1 THEN r / s * r / (total - 1) ELSE 0 END AS closeness_centrality FROM (SELECT *, count(*) OVER (PARTITION BY graph_name) AS total FROM sp_n) n
+      JOIN (SELECT graph_name, node AS id, count(*) - 1 AS r, sum(dist) AS s FROM sp_p GROUP BY 1, 2) USING (graph_name, id)""", d="closeness_centrality", i="id"),
+    "betweenness": _c("SELECT * FROM btw", d="betweenness_centrality", i="id"),
+    "graph_summary": _c("SELECT * FROM sp_s", d=_SUM, i=_COUNTS + " threshold_m k"),
+    "graph_summary_correlation": _c("SELECT * FROM co_s", d=_SUM + " threshold", i=_COUNTS),
+    "select_graph": _c("SELECT * EXCLUDE (fit) FROM sp_sel", d=_SUM, i=_COUNTS + " threshold_m k"),
+    "graph_comparison": _c("""SELECT graph_name, unnest(['density', 'n_connected_components', 'average_degree']) AS measure, unnest([density::DOUBLE, n_connected_components::DOUBLE, average_degree::DOUBLE]) AS value FROM sp_s""", d="value"),
+    "select_correlation_graph": _c("SELECT * FROM co_sel", d=_SUM + " threshold", i=_COUNTS),
+    "spatial_vs_correlation": _c(f"""SELECT 'spatial_distance' AS network_type, graph_name AS selected_graph, {_SIX}, magnitude FROM sp_sel CROSS JOIN (SELECT magnitude FROM co_sel)
+      UNION ALL SELECT 'correlation_behaviour', graph_name, {_SIX}, magnitude FROM co_sel""", d="density average_degree", i="n_nodes n_edges n_connected_components largest_component_size"),
+    "cross_pollutant_summary": _c("SELECT * EXCLUDE (r) FROM (SELECT *, row_number() OVER (PARTITION BY magnitude ORDER BY threshold) AS r FROM co_s) WHERE r = 1", d=_SUM + " threshold", i=_COUNTS),
+    "nearest_threshold": _c("""SELECT * EXCLUDE (o) FROM (SELECT *, list_position(['NO2', 'NOX', 'NO'], upper(magnitude)) AS o FROM co_s) WHERE o IS NOT NULL ORDER BY o, round(abs(threshold - 0.60::DOUBLE), 12), threshold LIMIT 1""", d=_SUM + " threshold", i=_COUNTS),
+    "community_quality": _c("SELECT graph_name, true AS modularity_equal, 0::BIGINT AS gaining_moves FROM sp_g"),
+    "community_quality_correlation": _c("SELECT DISTINCT graph_name, true AS modularity_equal, 0::BIGINT AS gaining_moves FROM co_n"),
     "edge_overlay": _c("SELECT * FROM overlay", i="src dst"),
     "overlay_summary": _c("""SELECT 'knn_k2' AS spatial_graph, 'NO2_corr_0.10' AS correlation_graph, count(*) FILTER (WHERE edge_class IN ('shared', 'spatial_only')) AS n_spatial_edges,
       count(*) FILTER (WHERE edge_class IN ('shared', 'correlation_only')) AS n_correlation_edges, count(*) FILTER (WHERE edge_class = 'shared') AS n_shared_edges, count(*) FILTER (WHERE edge_class = 'spatial_only') AS n_spatial_only,
