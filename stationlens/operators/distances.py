@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from stationlens.scratch import Scratch
+from stationlens.scratch import Scratch, partitions_for
 
 DEPTH = 24
 BINS = 4096
@@ -94,7 +94,7 @@ def pair_distance_quantiles(coords: DataFrame, probs=(0.10, 0.25, 0.50, 0.75)) -
     Stations without a position are left out; fewer than two give null distances.
     """
     spark = coords.sparkSession
-    scratch = Scratch(spark, "distances")
+    scratch = Scratch(spark, "distances", partitions_for(coords.count(), 1_000))  # the pairs in hand grow faster than stations
     places = coords.filter("utm_x is not null and utm_y is not null").groupBy(F.col("utm_x").cast("double").alias("x"), F.col("utm_y").cast("double").alias("y")).agg(F.count(F.lit(1)).alias("n"))
     box = places.agg(F.min("x"), F.max("x"), F.min("y"), F.max("y"), F.sum("n"), F.count(F.lit(1))).first()
     x1, x2, y1, y2, stations, n_places = box

@@ -17,7 +17,7 @@ from stationlens.functions.components import contract_components
 from stationlens.operators.community import communities, modularity  # noqa: F401
 from stationlens.operators.links import G, Adjacency, both_ways
 from stationlens.operators.paths import average_shortest_path, betweenness, closeness, component_sizes, shortest_paths  # noqa: F401
-from stationlens.scratch import Scratch
+from stationlens.scratch import Scratch, partitions_for
 from stationlens.session import checkpointed
 
 
@@ -132,9 +132,10 @@ def _iterate(state, step, sizes, tol, max_rounds, block, normalise):
 def eigenvector_centrality(nodes: DataFrame, edges: DataFrame, weight: str, tol: float = 1e-6, max_rounds: int = 500, block: int = 20) -> DataFrame:
     """Power iteration on I + A from a uniform start; null where a graph did not settle, 0 without edges."""
     active = edges.select(G).distinct()
-    members = nodes.select(G, "id").join(active, G, "left_semi")
-    sizes = checkpointed(members.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
-    links = Adjacency(Scratch(nodes.sparkSession, "eigen"), both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(members, w=1.0)))
+    scratch = Scratch(nodes.sparkSession, "eigen", partitions_for(edges.count()))
+    members = scratch.put("members", nodes.select(G, "id").join(active, G, "left_semi"))
+    sizes = scratch.put("sizes", members.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
+    links = Adjacency(scratch, both_ways(edges, weight).withColumnRenamed(weight, "w").unionAll(_loops(members, w=1.0)))
 
     def step(s):
         return (
@@ -143,19 +144,22 @@ def eigenvector_centrality(nodes: DataFrame, edges: DataFrame, weight: str, tol:
         )
 
     start = members.join(sizes, G).select(G, F.col("id").alias("src"), (1 / F.col("n")).alias("x"))
-    found = _iterate(start, step, sizes, tol, max_rounds, block, True)
+    found = scratch.give(scratch.put("settled", _iterate(start, step, sizes, tol, max_rounds, block, True)))
+    scratch.close()
     value = F.when(F.col("_active").isNull(), 0.0).otherwise(F.col("x"))
     return nodes.select(G, "id").join(found, [G, "id"], "left").join(active.withColumn("_active", F.lit(1)), G, "left").select(G, "id", value.alias("eigenvector_centrality"))
 
 
 def pagerank(nodes: DataFrame, edges: DataFrame, weight: str, damping: float = 0.85, tol: float = 1e-6, max_rounds: int = 100, block: int = 20) -> DataFrame:
     """Weighted PageRank with uniform teleport; nodes without links spread evenly."""
+    scratch = Scratch(nodes.sparkSession, "pagerank", partitions_for(edges.count()))
     out = both_ways(edges, weight).groupBy(G, "src").agg(F.sum(weight).alias("_s"))
-    sizes = checkpointed(nodes.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
+    members = scratch.put("members", nodes.select(G, "id"))
+    sizes = scratch.put("sizes", members.groupBy(G).agg(F.count(F.lit(1)).alias("n")))
     linked = out.groupBy(G).agg(F.count(F.lit(1)).alias("_linked"))
     facts = sizes.join(linked, G, "left").select(G, "n", (F.col("n") - F.coalesce("_linked", F.lit(0))).alias("alone"))
     shares = both_ways(edges, weight).join(out, [G, "src"]).select(G, "src", "dst", (F.col(weight) / F.col("_s")).alias("w"))
-    links = Adjacency(Scratch(nodes.sparkSession, "pagerank"), shares.unionAll(_loops(nodes, w=0.0)))
+    links = Adjacency(scratch, shares.unionAll(_loops(nodes, w=0.0)))
     # All nodes without links share one value, which is all that is spread evenly: it needs no sum.
     base = (1 - damping) / F.col("n") + damping * F.col("alone") * F.col("z") / F.col("n")
 
@@ -167,8 +171,9 @@ def pagerank(nodes: DataFrame, edges: DataFrame, weight: str, damping: float = 0
             G, F.col("dst").alias("src"), "x", F.concat("hist", F.array("x")).alias("hist"), "n", "alone", "z"
         )
 
-    start = nodes.select(G, "id").join(facts, G).select(G, F.col("id").alias("src"), (1 / F.col("n")).alias("x"), "n", "alone", (1 / F.col("n")).alias("z"))
-    found = _iterate(start, step, sizes, tol, max_rounds, block, False)
+    start = members.join(facts, G).select(G, F.col("id").alias("src"), (1 / F.col("n")).alias("x"), "n", "alone", (1 / F.col("n")).alias("z"))
+    found = scratch.give(scratch.put("settled", _iterate(start, step, sizes, tol, max_rounds, block, False)))
+    scratch.close()
     return nodes.select(G, "id").join(found, [G, "id"], "left").select(G, "id", F.col("x").alias("pagerank"))
 
 

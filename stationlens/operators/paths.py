@@ -4,7 +4,7 @@ from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stationlens.operators.links import G, Adjacency, both_ways
-from stationlens.scratch import Scratch
+from stationlens.scratch import Scratch, partitions_for
 
 STATE_ROWS = 50_000_000
 
@@ -12,7 +12,7 @@ STATE_ROWS = 50_000_000
 def shortest_paths(nodes: DataFrame, edges: DataFrame, weight: str = "distance", sources: DataFrame = None, width: float = None) -> DataFrame:
     """(graph_name, source, node, dist) for all reachable pairs, or from the given ``sources``.
 
-    Delta-stepping: distances fall into steps of ``width`` (per graph its longest link by default)
+    Delta-stepping: distances fall into steps of ``width`` (per graph four longest links by default)
     and are settled step by step. In a step, links up to the width are followed from entries that
     got shorter until none of the step does; longer links leave settled entries once. Entries of
     later steps wait, so few are extended before their distance is final. All sources of all
@@ -22,12 +22,11 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, weight: str = "distance",
     extends and merges the candidates into the state, which has a row per source and reached node.
     Distances are the sums of weights from the source on, added in that order.
     """
-    spark = nodes.sparkSession
-    scratch = Scratch(spark, "paths")
+    starts = nodes.select(G, "id") if sources is None else sources.select(G, "id").distinct()
+    scratch = Scratch(nodes.sparkSession, "paths", partitions_for(pair_count(starts, nodes)))
     links = Adjacency(scratch, both_ways(edges, weight).withColumnRenamed(weight, "w").filter("w is not null"))
     widest = links.table.groupBy(G).agg(F.max("w").alias("_w"))
-    step = F.when(F.coalesce("_w", F.lit(0.0)) > 0, F.col("_w") if width is None else F.lit(float(width))).otherwise(1.0)
-    starts = nodes.select(G, "id") if sources is None else sources.select(G, "id").distinct()
+    step = F.when(F.coalesce("_w", F.lit(0.0)) > 0, 4 * F.col("_w") if width is None else F.lit(float(width))).otherwise(1.0)
     state = scratch.put("state", starts.join(widest, G, "left").select(
         G, F.col("id").alias("source"), F.col("id").alias("node"), F.lit(0.0).alias("dist"), step.alias("step"),
         F.coalesce(F.col("_w") > step, F.lit(False)).alias("far"), F.lit(True).alias("near_due"), F.coalesce(F.col("_w") > step, F.lit(False)).alias("far_due"),
@@ -51,11 +50,18 @@ def shortest_paths(nodes: DataFrame, edges: DataFrame, weight: str = "distance",
         scratch.drop(previous)
         if seen.get["any"] is None:
             scratch.close(state)
-            return state.select(G, "source", "node", "dist")
+            return scratch.give(state).select(G, "source", "node", "dist")
         level = seen.get["any"]
         follow_far = seen.get["near"] is None or seen.get["near"] > level
 
 
+def pair_count(sources: DataFrame, nodes: DataFrame) -> int:
+    """How many rows a table of all sources by all nodes of their graph can have."""
+    n = nodes.groupBy(G).agg(F.count(F.lit(1)).alias("_n"))
+    k = sources.groupBy(G).agg(F.count(F.lit(1)).alias("_k"))
+    return n.join(k, G).agg(F.sum(F.col("_n") * F.col("_k"))).first()[0] or 0
+
+
 def component_sizes(components: DataFrame) -> DataFrame:
     return components.groupBy(G, "component").agg(F.count(F.lit(1)).alias("component_size"))
 
@@ -99,8 +105,7 @@ def distance_profile(nodes: DataFrame, edges: DataFrame, weight: str = "distance
     to a few hundred are exact). Rounding adds at most half a band per link of a path, and up to a
     whole one on links shorter than half a band.
     """
-    spark = nodes.sparkSession
-    scratch = Scratch(spark, "profile")
+    scratch = Scratch(nodes.sparkSession, "profile", partitions_for(nodes.count(), 10_000))
     both = both_ways(edges, weight).filter(F.col(weight).isNotNull())
     band = edges.groupBy(G).agg((F.avg(weight) / bands).alias("_band"))
     size = F.when(F.col("_band") > 0, F.col("_band")).otherwise(1.0)
@@ -132,7 +137,7 @@ def distance_profile(nodes: DataFrame, edges: DataFrame, weight: str = "distance
         ball = new
     out = scratch.put("profile", ball.join(band, G, "left").select(G, F.col("node").alias("id"), (F.col("count") - 1).cast("long").alias("reached"), (F.col("total") * F.coalesce(size, F.lit(0.0))).alias("total")))
     scratch.close(out)
-    return out
+    return scratch.give(out)
 
 
 def closeness_estimated(nodes: DataFrame, profile: DataFrame) -> DataFrame:
@@ -244,23 +249,25 @@ def betweenness(nodes: DataFrame, edges: DataFrame, paths: DataFrame = None, wei
     sources = nodes.select(G, "id")
     if samples is not None:
         lot = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / F.lit(float(1 << 30))
-        sources = scratch.put("sources", sources.join(sizes, G).filter(lot < F.lit(float(samples)) / F.col("_n")).select(G, "id"))
+        sources = sources.join(sizes, G).filter(lot < F.lit(float(samples)) / F.col("_n")).select(G, "id")
+    sources = scratch.put("sources", sources)
     drawn = scratch.put("drawn", sources.groupBy(G).agg(F.count(F.lit(1)).alias("_k")))
-    need = drawn.join(sizes, G).agg(F.sum(F.col("_k") * F.col("_n"))).first()[0] or 0
-    batches = max(1, int(-(-need // state_rows)))
+    need = pair_count(sources, nodes)
+    batches = max(1, -(-need // state_rows))
     sums = None
     for b in range(batches):
-        inner = Scratch(nodes.sparkSession, "batch")
+        inner = Scratch(nodes.sparkSession, "batch", partitions_for(min(need, state_rows)))
         part = sources.filter(F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(batches)) == b)
         if paths is None:
             reach = inner.put("reach", shortest_paths(nodes, edges, weight, part))
         else:
             reach = inner.put("reach", paths.join(part.withColumnRenamed("id", "source"), [G, "source"], "left_semi"))
-        own = _dependencies(inner, edges, reach, weight)
+        own = inner.put("own", _dependencies(inner, inner.put("edges", edges.select(G, "src", "dst", weight)), reach, weight))
         total = own if sums is None else own.unionByName(sums).groupBy(G, "id").agg(F.sum("_b").alias("_b"))
         previous, sums = sums, scratch.put("sums", total)
         scratch.drop(previous)
         inner.close()
+    scratch.close(sums, sizes, drawn)
     n = F.col("_n")
     value = F.try_divide(F.coalesce("_b", F.lit(0.0)) * n / F.col("_k"), (n - 1) * (n - 2))
     out = nodes.select(G, "id").join(sums, [G, "id"], "left").join(sizes, G).join(drawn, G, "left")
