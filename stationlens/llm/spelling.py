@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stationlens.llm.scratch import Scratch
+from stationlens.scratch import Scratch
 
 LETTERS = "A-Za-zÀ-ÿ"
 MIN_LETTERS = 7
@@ -249,15 +249,14 @@ def vocabulary_of(words: DataFrame, min_count: int = MIN_COUNT) -> DataFrame:
 
 def roots(forms: DataFrame, scratch: Scratch) -> DataFrame:
     """(word, root) for (word, form): the end of each chain of forms, by doubling the steps taken."""
-    state = scratch.put("steps", forms.select("word", F.col("form").alias("root")))
+    state = scratch.put("steps", forms.select("word", F.col("form").alias("root"), F.lit(True).alias("moved")))
     while True:
         ahead = state.select(F.col("word").alias("root"), F.col("root").alias("next"))
-        new = scratch.put("steps", state.join(ahead, "root", "left").select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
-        scratch.drop(state)
-        state = new.drop("moved")
-        if new.filter("moved").isEmpty():
-            return state
-        scratch.paths[id(state)] = scratch.paths.pop(id(new))
+        steps = state.drop("moved").join(ahead, "root", "left")
+        previous, state = state, scratch.put("steps", steps.select("word", F.coalesce("next", "root").alias("root"), F.col("next").isNotNull().alias("moved")))
+        scratch.drop(previous)
+        if state.filter("moved").isEmpty():
+            return state.drop("moved")
 
 
 def spelling_groups(vocabulary: DataFrame, ratio: int = RATIO, round_bytes: int = ROUND_BYTES, bits: int = BITS) -> DataFrame:
