@@ -8,8 +8,9 @@ from stationlens.llm.mixing import mix
 from stationlens.llm.neardup import drop_near_duplicates
 from stationlens.llm.quality import quality
 from stationlens.llm.queries import MIX
-from stationlens.llm.sharding import shard_documents
+from stationlens.llm.sharding import with_shards
 from stationlens.llm.words import fresh_name
+from stationlens.scratch import delete
 from stationlens.session import scratch_path
 
 ORACLE_SQL = None  # the line labelling and the alignment have no SQL form; tests compare with brute force
@@ -39,8 +40,8 @@ def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def sharding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The shard and slot of every row."""
-    return shard_documents(docs)
+    """All rows and columns with their shard and slot."""
+    return with_shards(docs)
 
 
 STAGES = [("quality rules", quality_rules), ("MinHash near-dedup", near_dedup), ("benchmark decontamination", decontamination), ("mixing", mixing), ("sharding", sharding)]
@@ -48,9 +49,11 @@ STAGES = [("quality rules", quality_rules), ("MinHash near-dedup", near_dedup),
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents, each written as Parquet to the shared folder and read again."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, previous = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES:
         path = scratch_path(spark, "pipeline-" + name.replace(" ", "-"))
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if previous:
+            delete(spark, previous)  # the next stage reads this one's table alone
+        docs, previous = spark.read.parquet(path), path
     return docs

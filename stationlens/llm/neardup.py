@@ -9,12 +9,16 @@ many as guarantee that two similar items meet in a list (prefix filtering: of s
 share o, the s - o + 1 rarest suffice). For sets inside the sketch this is exact; for larger
 ones o lies six standard deviations below the number that similar sets share.
 
-Long lists never make all pairs. In each round a list's members are compared with one leader;
-confirmed links join components, and a list whose members are all in one component is done.
-Members of lists that stay mixed after the leader rounds are listed anew by their whole sets,
-where similar texts share one of the (1 - threshold) rarest shingles: passages that many
-documents share are not among those. After leader rounds there, the rest is exact: members
-outside a list's largest component are compared with the members of other components.
+Lists with the same members count once: the shingles of a shared passage make many of them. In
+each round a list's members are compared with one leader; confirmed links join components, and a
+list whose members are all in one component is done. Members of lists that stay mixed after the
+leader rounds are listed anew by their whole sets, where similar texts share one of the
+(1 - threshold) rarest shingles: passages that many documents share are not among those. After
+leader rounds there, the rest is exact: members outside a list's largest component meet the
+members of other components, each pair in one list alone, that of their least common value.
+
+Sketches and texts of listed items lie in one table bucketed by item, so a round moves its pairs
+and not the texts; tables are deleted when the next step no longer reads them.
 
 Defined cases: null and empty texts have an empty set and stay alone; fewer words than the
 shingle length make one shingle; rows that repeat an id are documents of their own with one id;
@@ -32,7 +36,7 @@ from pyspark.sql.types import BinaryType, DoubleType
 
 from stationlens.functions.components import contract_components
 from stationlens.llm import words as W
-from stationlens.session import checkpointed, scratch_path
+from stationlens.scratch import Scratch
 
 K = 64
 SKETCH = "n long, item binary, sketch array<long>"
@@ -129,19 +133,22 @@ def whole_set(shingle: int):
     return hashes.asNondeterministic()
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` from a compressed table in the shared folder."""
-    path = scratch_path(df.sparkSession, f"neardup-{name}")
-    df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.parquet(path)
+def _listed(rows: DataFrame) -> DataFrame:
+    """(value, item, n): of each item's rows (item, n, p, m, value) the ``p`` rarest of its ``m`` values, ties by value.
+
+    A value of one item proposes nothing, but it still fills a place among the rarest: an item has
+    as many of those as rows are lost in the join with the values of several.
+    """
+    often = rows.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
+    shared = rows.join(often, "value").groupBy("item", "n", "p", "m").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("v"))
+    free = F.col("p") - (F.col("m") - F.size("v"))
+    return shared.filter(free > 0).withColumn("free", free).select("item", "n", F.explode(F.expr("slice(v, 1, free)")).alias("v")).select("v.value", "item", "n")
 
 
-def _listed(rows: DataFrame) -> DataFrame:
-    """(value, item, n): of each item's rows (item, n, p, value) the ``p`` rarest values, ties by value."""
-    often = rows.groupBy("value").agg(F.count(F.lit(1)).alias("df"))
-    # A value of one item proposes nothing, but it still fills a place among the rarest.
-    rare = rows.join(often, "value").groupBy("item", "n", "p").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("v"))
-    return rare.select("item", "n", F.explode(F.expr("slice(v, 1, p)")).alias("v")).filter("v.df > 1").select("v.value", "item", "n")
+def _once(lists: DataFrame) -> DataFrame:
+    """One list of each set of members (told apart by 128 bits of their hashes), without lists of one."""
+    marks = lists.groupBy("value").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(7))).alias("y")).filter("c > 1")
+    return lists.join(marks.groupBy("c", "x", "y").agg(F.min("value").alias("value")).select("value"), "value")
 
 
 def _sketch_rows(items: DataFrame, t: float, k: int) -> DataFrame:
@@ -149,32 +156,34 @@ def _sketch_rows(items: DataFrame, t: float, k: int) -> DataFrame:
     size = F.size("sketch")
     # Sets so small that all their partners lie inside the sketch take the exact bound.
     share = F.when(F.col("n") <= math.floor(t * k), F.ceil(F.col("n") * F.lit(t) - F.lit(1e-9))).otherwise(F.least(F.lit(low), F.ceil(size * F.lit(t)))).cast("int")
-    return items.select("item", "n", F.greatest(F.lit(1), size - share + 1).alias("p"), F.explode("sketch").alias("value"))
+    return items.select("item", "n", F.greatest(F.lit(1), size - share + 1).alias("p"), size.alias("m"), F.explode("sketch").alias("value"))
 
 
 def _whole_rows(texts: DataFrame, t: float, shingle: int) -> DataFrame:
     sets = texts.select("item", whole_set(shingle)("text").alias("v")).withColumn("n", F.size("v").cast("long"))
     p = (F.col("n") - F.ceil(F.col("n") * F.lit(t) - F.lit(1e-9)) + 1).cast("int")
-    return sets.select("item", "n", p.alias("p"), F.explode("v").alias("value"))
+    return sets.select("item", "n", p.alias("p"), F.col("n").cast("int").alias("m"), F.explode("v").alias("value"))
 
 
-def _confirmed(pairs, items, texts, threshold_pct, shingle, k):
-    """Links among the proposed ``pairs`` (a, b)."""
+def _confirmed(scratch, pairs, known, threshold_pct, shingle, k):
+    """Links among the proposed ``pairs`` (a, b); ``known`` has sketch and text by item."""
     t = threshold_pct / 100
     low = t - 5 * math.sqrt(t * (1 - t) / k)
-    sk = items.select("item", "sketch")
-    near = pairs.join(sk.select(F.col("item").alias("a"), F.col("sketch").alias("sa")), "a").join(sk.select(F.col("item").alias("b"), F.col("sketch").alias("sb")), "b")
-    near = checkpointed(near.filter(estimate("sa", "sb") >= low).select("a", "b"))
-    whole = near.join(texts.select(F.col("item").alias("a"), F.col("text").alias("ta")), "a").join(texts.select(F.col("item").alias("b"), F.col("text").alias("tb")), "b")
-    m = whole.select("a", "b", overlap(shingle)("ta", "tb").alias("m"))
-    return m.filter(100 * F.col("m.both") >= threshold_pct * F.col("m.either")).select("a", "b")
+    side = lambda c, what: known.select(F.col("item").alias(c), F.col(what).alias(f"{what}_{c}"))
+    near = pairs.join(side("a", "sketch"), "a").join(side("b", "sketch"), "b")
+    near = scratch.put("near", near.filter(estimate("sketch_a", "sketch_b") >= low).select("a", "b"))
+    whole = near.join(side("a", "text"), "a").join(side("b", "text"), "b")
+    m = whole.select("a", "b", overlap(shingle)("text_a", "text_b").alias("m"))
+    links = scratch.put("links", m.filter(100 * F.col("m.both") >= threshold_pct * F.col("m.either")).select("a", "b"))
+    scratch.drop(near)
+    return links
 
 
-def _mixed(lists: DataFrame, labels: DataFrame) -> DataFrame:
+def _mixed(scratch, lists: DataFrame, labels: DataFrame) -> DataFrame:
     """Members (value, item, n, label) of the lists that still hold more than one component."""
     state = lists.withColumn("label", F.col("item")) if labels is None else lists.join(labels, "item", "left").select("value", "item", "n", F.coalesce("label", "item").alias("label"))
     mixed = state.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("value")
-    return _stored(state.join(mixed, "value"), "mixed")
+    return scratch.put("mixed", state.join(mixed, "value"))
 
 
 def _outside(state: DataFrame, turn: int) -> DataFrame:
@@ -184,19 +193,33 @@ def _outside(state: DataFrame, turn: int) -> DataFrame:
     return state.join(top, "value").filter("label <> main")
 
 
+def _between(state: DataFrame, fits) -> DataFrame:
+    """(item, n, leader, m): pairs of different components that share a list, each from the list of their least common value."""
+    values = state.groupBy("item").agg(F.array_sort(F.collect_list("value")).alias("own"))  # at most the listed values of one text
+    rows = state.join(values, "item")
+    other = rows.select(F.col("value").alias("at"), F.col("item").alias("leader"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("own").alias("theirs"))
+    out = _outside(state, 0).drop("leader", "m").join(values, "item")
+    least = F.array_min(F.array_intersect("own", "theirs")) == F.col("value")
+    # A pair of two outsiders is met from both sides; the distinct pairs are taken later.
+    return out.join(other, (F.col("value") == F.col("at")) & (F.col("label") != F.col("other")) & fits("n", "m") & least).select("item", "n", "leader", "m")
+
+
 def link_components(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80, k: int = K, leader_rounds: tuple = (3, 2)):
-    """(rows, members): per row of ``docs`` (doc_id, n, digest), and (digest, component_id) of all texts with words."""
-    sketched = _stored(docs.select("doc_id", sketcher(shingle, k)("text").alias("s")).select("doc_id", "s.n", F.col("s.item").alias("digest"), "s.sketch"), "sketches")
+    """(rows, members): per row of ``docs`` (doc_id, n, digest), and (digest, component_id, first) of all texts with words; ``first`` marks one text per component."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "neardup")
+    sketched = scratch.put("sketches", docs.select("doc_id", sketcher(shingle, k)("text").alias("s")).select("doc_id", "s.n", F.col("s.item").alias("digest"), "s.sketch"))
     t = threshold_pct / 100
     linked = sketched.filter("digest is not null and doc_id is not null")
     items = linked.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     # Numbered as it is written, so that the numbers stay what they are.
-    items = _stored(items.withColumn("item", F.monotonically_increasing_id()), "items")
-    lists = _stored(_listed(_sketch_rows(items, t, k)), "lists")
+    items = scratch.put("items", items.withColumn("item", F.monotonically_increasing_id()))
+    lists = scratch.put("lists", _once(_listed(_sketch_rows(items, t, k))))
     # Texts are looked up by the representative's id, and checked, for items that share a listed value.
-    wanted = lists.select("item").distinct().join(items.select("item", "rep", "digest"), "item")
-    found = docs.select("doc_id", "text").join(wanted.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_want"), F.col("item").alias("_item")), "doc_id")
-    texts = _stored(found.withColumn("_got", digest("text")).filter("_got = _want").groupBy(F.col("_item").alias("item")).agg(F.first("text").alias("text")), "texts")
+    wanted = lists.select("item").distinct().join(items, "item")
+    found = docs.select("doc_id", "text").join(wanted.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_want"), "item", "sketch"), "doc_id")
+    texts = found.withColumn("_got", digest("text")).filter("_got = _want").dropDuplicates(["item"]).select("item", "sketch", "text")
+    known = scratch.bucketed("known", texts, int(spark.conf.get("spark.sql.shuffle.partitions")), "item")
     links, labels, tried = None, None, None
 
     def fits(n, m):
@@ -207,31 +230,41 @@ def link_components(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80,
         pairs = proposed.filter(fits("n", "m")).select(F.least("item", "leader").alias("a"), F.greatest("item", "leader").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = _stored(pairs, "pairs")
+        pairs = scratch.put("pairs", pairs)
         if pairs.isEmpty():
             return
-        good = checkpointed(_confirmed(pairs, items, texts, threshold_pct, shingle, k))
+        good = _confirmed(scratch, pairs, known, threshold_pct, shingle, k)
         tried = pairs if tried is None else tried.unionAll(pairs)
         links = good if links is None else links.unionAll(good)
-        labels = contract_components(links, "a", "b").select(F.col("id").alias("item"), "label")
-
-    for turn in range(leader_rounds[0]):
-        compare(_outside(_mixed(lists, labels), turn))
-    open_items = _mixed(lists, labels).select("item").distinct()
+        previous = labels
+        labels = scratch.put("labels", contract_components(links, "a", "b").select(F.col("id").alias("item"), "label"))
+        scratch.drop(previous)
+
+    def turns(number):
+        for turn in range(number):
+            mixed = _mixed(scratch, lists, labels)
+            compare(_outside(mixed, turn))
+            scratch.drop(mixed)
+
+    turns(leader_rounds[0])
+    mixed = _mixed(scratch, lists, labels)
+    open_items = scratch.put("open", mixed.select("item").distinct())
+    scratch.drop(mixed, lists)
     if not open_items.isEmpty():
         # What is open still meets by whole sets: similar texts share one of their rarest shingles.
-        lists = _stored(_listed(_whole_rows(texts.join(open_items, "item", "left_semi"), t, shingle)), "whole")
-        for turn in range(leader_rounds[1]):
-            compare(_outside(_mixed(lists, labels), turn))
-        state = _mixed(lists, labels)
-        other = state.select("value", F.col("item").alias("leader"), F.col("n").alias("m"), F.col("label").alias("other"))
-        compare(_outside(state, 0).drop("leader", "m").join(other, "value").filter((F.col("label") != F.col("other")) & fits("n", "m")))
+        lists = scratch.put("whole", _once(_listed(_whole_rows(known.join(open_items, "item", "left_semi"), t, shingle))))
+        turns(leader_rounds[1])
+        mixed = _mixed(scratch, lists, labels)
+        compare(_between(mixed, fits))
+        scratch.drop(mixed)
     members = items.select("digest", "item", "rep")
-    if labels is None:
-        return sketched.select("doc_id", "n", "digest"), members.select("digest", F.col("rep").alias("component_id"))
-    grouped = members.join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
-    least = grouped.groupBy("label").agg(F.min("rep").alias("component_id"))
-    return sketched.select("doc_id", "n", "digest"), grouped.join(least, "label").select("digest", "component_id")
+    grouped = members.withColumn("label", F.col("item")) if labels is None else members.join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
+    least = grouped.groupBy("label").agg(F.min(F.struct("rep", "digest")).alias("f"))
+    found = grouped.join(least, "label").select("digest", F.col("f.rep").alias("component_id"), (F.col("f.digest") == F.col("digest")).alias("first"))
+    found = scratch.put("members", found)
+    rows = scratch.put("rows", sketched.select("doc_id", "n", "digest"))
+    scratch.close(found, rows)
+    return rows, found
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80, k: int = K) -> DataFrame:
@@ -243,14 +276,24 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80,
 
 
 def drop_near_duplicates(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80) -> DataFrame:
-    """One row of each group of near-duplicates, with all columns; of rows that repeat an id the first by text stays."""
-    found = near_duplicates(docs.select("doc_id", "text"), shingle, threshold_pct)
-    gone = found.filter("not kept").select("doc_id").distinct()
-    again = found.filter("kept and doc_id is not null").groupBy("doc_id").count().filter("count > 1").select("doc_id")
+    """One row of each group of near-duplicates, with all columns.
+
+    The row of the smallest id stays, of several texts with that id the one of smallest digest.
+    Rows that repeat an id are judged by their texts, so each belongs to its own text's group;
+    equal rows that repeat an id and a text stay once. Rows without an id or without words stay.
+    """
+    rows, members = link_components(docs.select("doc_id", "text"), shingle, threshold_pct)
+    judged = rows.join(members, "digest", "left")
+    kept = F.col("digest").isNull() | F.col("doc_id").isNull() | (F.col("first") & (F.col("component_id") == F.col("doc_id")))
+    again = rows.filter("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").select("doc_id")
+    gone = judged.filter(~kept).select("doc_id").distinct()
     every = [F.col(f"`{c}`") for c in docs.columns]
-    rest = docs.join(gone, "doc_id", "left_anti").select(*every)
-    single = rest.join(again, "doc_id", "left_anti").select(*every)
-    repeated = rest.join(again, "doc_id", "left_semi").select(*every)
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    first = F.min(F.struct(F.col("text"), *[F.col(f"`{c}`") for c in others])).alias("r")
-    return single.unionByName(repeated.groupBy("doc_id").agg(first).select("doc_id", "r.*").select(*every))
+    single = docs.join(gone.unionAll(again), "doc_id", "left_anti").select(*every)
+    mark = W.fresh_name(docs, "_digest")
+    repeated = docs.join(again, "doc_id", "left_semi").select(*every, digest("text").alias(mark))
+    stay = judged.filter(kept).join(again, "doc_id", "left_semi").select("doc_id", F.col("digest").alias(mark)).distinct()
+    others = [c for c in docs.columns if c != "doc_id"]
+    first = F.min(F.struct(*[F.col(f"`{c}`") for c in others])).alias("r")
+    wordless = repeated.filter(F.col(mark).isNull()).select(*every)
+    worded = repeated.join(stay, ["doc_id", mark], "left_semi").groupBy("doc_id", mark).agg(first).select("doc_id", "r.*").select(*every)
+    return single.unionByName(wordless).unionByName(worded)

@@ -45,6 +45,16 @@ def with_slots(rows: DataFrame, shard: str, spread: list, slot: str = "slot", bu
     return numbered.join(offsets, [shard, "_bucket"]).withColumn(slot, (F.col("_before") + F.col("_place")).cast("long")).drop("_bucket", "_before", "_place")
 
 
+def with_shards(docs: DataFrame, shards: int = 16, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with all columns and two more, ``shard`` and ``slot`` (lengthened where a column has that name)."""
+    names = [n + "_" * max(0, max([len(c) - len(n) for c in docs.columns if c.lower().rstrip("_") == n], default=-1) + 1) for n in ("shard", "slot")]
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    size = F.coalesce(F.octet_length(text), F.lit(0)).alias("_size")
+    rows = docs.select(whole, F.col(key).alias("_key"), F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("_crc"), size, jump_shard(F.col(key), shards).alias("_shard"))
+    numbered = with_slots(rows, "_shard", ["_key", "_crc", "_size"], "_slot")
+    return numbered.select(*[F.col("_row")[c].alias(c) for c in docs.columns], F.col("_shard").alias(names[0]), F.col("_slot").alias(names[1]))
+
+
 def shard_documents(docs: DataFrame, shards: int = 16, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, size, text_crc32, law, shard, slot, grown_shard) of every row."""
     if shards < 1:
