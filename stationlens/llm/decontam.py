@@ -1,8 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds, then Smith-Waterman alignment.
 
-Words are compared in lower case without signs. Each test item gives n-grams; those that are
-rare in the corpus (the rarer half of an item's, at least ``MIN_SEEDS``) are its seeds. A text
-that holds a seed is aligned with the item around that place, word by word with matches,
+Words are compared in lower case without signs. Each test item gives n-grams; those that no text
+holds seed nothing, and of the others all are seeds that are rare in the corpus: held by at most
+``RARE`` of the texts (or ``FEW`` of them), or by not much more than the item's middle gram, so
+that an item with many copies keeps its seeds; the rarest ``MIN_SEEDS`` are seeds in any case. A
+text that holds a seed is aligned with the item around that place, word by word with matches,
 mismatches and gaps, so that edited and paraphrased copies still score. The score is the
 alignment's share of a perfect one.
 
@@ -11,7 +13,8 @@ seed index is the only thing sent to all tasks, so its size is bounded whatever
 Texts never leave their task: no shuffle carries them.
 
 Defined cases: null and empty items or texts match nothing; items of fewer than ``N`` words are
-one seed as a whole; repeated items each get their rows; a null item_id is kept as null.
+one seed as a whole; repeated items each get their rows; item ids of any type, null too, are kept;
+of alignments with one score the first found in the text is reported.
 """
 
 import re
@@ -23,8 +26,10 @@ from pyspark.sql import functions as F
 
 from stationlens.llm import words as W
 
-N = 4
+N = 3
 MIN_SEEDS = 12
+RARE = 1e-4
+FEW = 16
 BLOCK = 10_000
 BLOCK_WORDS = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -184,8 +189,22 @@ def _blocks(benchmark: DataFrame):
         yield [(r.item_id, r.text) for r in sorted(size.filter(F.col("_b") % parts == p).collect(), key=lambda r: (r.item_id is None, r.item_id, r.text))]
 
 
+def rare_grams(items, often, n_texts):
+    """True for the grams that are seeds, from each gram's item and number of texts."""
+    chosen = np.zeros(len(items), bool)
+    for i in np.unique(items):
+        own = np.flatnonzero((items == i) & (often > 0))
+        if len(own):
+            ranked = own[np.argsort(often[own], kind="stable")]
+            bound = max(FEW, RARE * n_texts, 2 * often[ranked[len(ranked) // 2]])
+            chosen[ranked[:MIN_SEEDS]] = True
+            chosen[own[often[own] <= bound]] = True
+    return chosen
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5):
     """For each block of the benchmark: (item ids, a column function from text to hits)."""
+    n_texts = docs.count()
     for block in _blocks(benchmark):
         texts = [t for _, t in block]
         _, _, keys, items, places = item_grams(texts)
@@ -194,34 +213,30 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5):
         uniq, inverse = np.unique(keys, return_inverse=True)
         lengths = sorted({N, *range(1, N)} & {min(N, len(re.findall(r"\S+", t))) for t in texts} | {N})
         often = gram_frequency(docs, uniq, lengths)[inverse]
-        chosen = np.zeros(len(keys), bool)
-        for i in np.unique(items):
-            own = np.flatnonzero(items == i)
-            rare = own[np.lexsort((places[own], often[own]))]
-            chosen[rare[: max(MIN_SEEDS, (len(own) + 1) // 2)]] = True
+        chosen = rare_grams(items, often, n_texts)
         order = np.flatnonzero(chosen)[np.argsort(keys[chosen], kind="stable")]
         yield [i for i, _ in block], finder(docs.sparkSession, texts, (keys[order], items[order], places[order]), min_score)
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, min_score: float = 0.5) -> DataFrame:
     """(doc_id, item_id, score, start_word, end_word) for every item that a text holds; words are counted without signs alone."""
-    out = None
+    out, kind = None, dict(benchmark.dtypes)["item_id"]
     for ids, find in contaminated(docs, benchmark, min_score):
         hit = docs.select("doc_id", F.explode(find("text")).alias("h"))
-        names = F.array(*[F.lit(i).cast("long") for i in ids]) if len(ids) <= 500 else None
-        part = hit.select("doc_id", (F.element_at(names, F.col("h.item") + 1) if names is not None else _named(hit, ids)).alias("item_id"), "h.score", F.col("h.start").alias("start_word"), F.col("h.end").alias("end_word"))
+        part = hit.select("doc_id", _named(hit, ids, kind).alias("item_id"), "h.score", F.col("h.start").alias("start_word"), F.col("h.end").alias("end_word"))
         out = part if out is None else out.unionByName(part)
     if out is None:
-        out = docs.select("doc_id", F.lit(None).cast("long").alias("item_id"), F.lit(0.0).alias("score"), F.lit(0).alias("start_word"), F.lit(0).alias("end_word")).filter("false")
+        out = docs.select("doc_id", F.lit(None).cast(kind).alias("item_id"), F.lit(0.0).alias("score"), F.lit(0).alias("start_word"), F.lit(0).alias("end_word")).filter("false")
     return out
 
 
-def _named(hit, ids):
-    sent = hit.sparkSession.sparkContext.broadcast(np.array([-1 if i is None else i for i in ids], np.int64))
+def _named(hit, ids, kind):
+    sent = hit.sparkSession.sparkContext.broadcast(ids)
 
-    @F.arrow_udf(returnType="long")
+    @F.arrow_udf(returnType=kind)
     def name(item: pa.Array) -> pa.Array:
-        return pa.array(sent.value[item.to_numpy(zero_copy_only=False).astype(np.int64)])
+        known = sent.value
+        return pa.array([known[k] for k in item.to_pylist()], pa.string() if kind == "string" else None if any(i is not None for i in known) else pa.int64())
 
     return name(F.col("h.item"))
 

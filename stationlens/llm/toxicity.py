@@ -34,7 +34,8 @@ SIZE = 64
 MEMORY = 500_000
 EDGE = 63
 LEET = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a"}
-SPACED = re.compile(r"(?<!\S)(?:\w[\s.*_-]+){2,}\w(?!\w)")
+# Single letters with separators between; the two share no sign and neither can give any back, so a scan is linear.
+SPACED = re.compile(r"(?<!\S)[^\W_](?:[\s.*_-]++[^\W_](?![^\W_])){2,}+")
 NOT_WORD = re.compile(r"[\W_]+")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 OFFSETS = [(a, b) for a in range(1, SPAN - 1) for b in range(a + 1, SPAN)]
