@@ -159,17 +159,41 @@ def feature_importances(fitted, features, target, model, spark) -> DataFrame:
     return spark.createDataFrame(rows, "target string, model string, feature string, importance double, type string")
 
 
-def cross_validate(split: DataFrame, features, target: str, model: str, k: int = 5, **params) -> DataFrame:
-    """Metrics of each expanding fold of the training rows."""
-    folds = time_series_folds(split, k).cache()
+def cross_validate(folds: DataFrame, features, target: str, model: str, k: int = 5, **params) -> DataFrame:
+    """Predictions for the validation rows of each expanding fold, from a model fitted on the fold's training rows.
+
+    ``folds`` is the table of ``time_series_folds``, written once and read by all folds.
+    """
     parts = []
     for f in range(k):
         one = folds.filter(F.col("fold") == f)
         predicted, _ = fit_and_predict(one.filter("role = 'train'"), one.filter("role = 'validation'"), features, target, model, **params)
-        parts.append(regression_metrics(predicted, f"cv_fold_{f}"))
+        parts.append(predicted.withColumn("fold", F.lit(f)))
     return reduce(DataFrame.unionByName, parts)
 
 
+def side_by_side_linear(rows: DataFrame, feature: str, target: str, *groups: str) -> DataFrame:
+    """Predictions of a least-squares line on one feature, a line per group, all groups in one aggregate.
+
+    ``rows`` has ``role`` (train or another); lines are fitted on the training rows of their group
+    and give predictions for the others. A group whose feature does not vary predicts its mean.
+    """
+    train = rows.filter("role = 'train'")
+    slope = F.coalesce(F.when(F.var_pop(feature) > 0, F.regr_slope("label", F.col(feature))), F.lit(0.0))
+    lines = train.groupBy(*groups).agg(slope.alias("_slope"), F.avg("label").alias("_y"), F.avg(feature).alias("_x"))
+    rest = rows.filter("role <> 'train'")
+    joined = rest.join(lines, list(groups)) if groups else attach_scalar(rest, lines)
+    value = F.col("_y") + F.col("_slope") * (F.col(feature) - F.col("_x"))
+    return joined.select(F.lit(target).alias("target"), F.lit(f"linear_{feature}").alias("model"), *groups, "time_key", "sensor_id", "position", F.col("label").alias("actual"), value.alias("predicted"))
+
+
+def fold_metrics(predictions: DataFrame) -> DataFrame:
+    """``regression_metrics`` of every fold in one job: (target, model, fold, split, r2, rmse, mae, n_samples)."""
+    named = predictions.withColumn("target", F.struct("target", "fold"))
+    rows = regression_metrics(named, "validation")
+    return rows.select("target.target", "model", "target.fold", "split", "r2", "rmse", "mae", "n_samples")
+
+
 def regression_metrics(predictions: DataFrame, split: str = "test") -> DataFrame:
     """r2, rmse and mae per (target, model), rounded to four digits."""
     y, e = F.col("actual"), F.col("actual") - F.col("predicted")
@@ -224,7 +248,7 @@ def run_models(df: DataFrame, targets=None, models=("random_forest", "gradient_b
             predictions.append(p)
             importances.append(i)
             if cv:
-                folds.append(cross_validate(split, features, target, model, cv, **params.get(model, {})))
+                folds.append(fold_metrics(cross_validate(time_series_folds(split, cv), features, target, model, cv, **params.get(model, {}))))
     union = lambda parts: reduce(DataFrame.unionByName, parts) if parts else None
     p = union(predictions)
     return {"panel": panel, "predictions": p, "metrics": None if p is None else regression_metrics(p), "importances": union(importances), "folds": union(folds)}

@@ -64,6 +64,28 @@ def crude_folds(s, d):
     return parts[0].unionAll(parts[1]).unionAll(parts[2]).unionAll(parts[3])
 
 
+def folds(s, d):
+    return stored(s, d, "folds", lambda s, d: J.time_series_folds(split(s, d)))
+
+
+def linear_folds(s, d):
+    """Out-of-fold predictions of a line per fold and feature."""
+    rows = folds(s, d)
+    return J.side_by_side_linear(rows, "VV", "NO2", "fold").unionByName(J.side_by_side_linear(rows, "TI_MAIN", "NO2", "fold"))
+
+
+def linear_test(s, d):
+    """Predictions for the last fifth of the rows by lines fitted on the rows before."""
+    rows = split(s, d).withColumn("role", F.col("split"))
+    return J.side_by_side_linear(rows, "VV", "NO2").unionByName(J.side_by_side_linear(rows, "TI_MAIN", "NO2"))
+
+
+def tree_folds(s, d):
+    """Out-of-fold predictions of a forest, written once."""
+    names = J.feature_columns(panel(s, d).columns)
+    return stored(s, d, "tree_folds", lambda s, d: J.cross_validate(folds(s, d), names, "NO2", "random_forest", **PARAMS["random_forest"]))
+
+
 def _features(s, d):
     """Which columns of the panel are features, decided from its schema."""
     p = panel(s, d)
@@ -94,6 +116,13 @@ QUERIES = {
     "fit_boosting_deep": model("boosting_deep"),
     "regression_metrics": lambda s, d: J.regression_metrics(crude(s, d)),
     "cv_summary": lambda s, d: J.cv_summary(crude_folds(s, d)),
+    "fold_predictions": linear_folds,
+    "cross_validation": lambda s, d: J.fold_metrics(linear_folds(s, d)),
+    "cross_validation_summary": lambda s, d: J.cv_summary(J.fold_metrics(linear_folds(s, d))),
+    "cross_validation_forest": lambda s, d: J.fold_metrics(tree_folds(s, d)),
+    "test_metrics": lambda s, d: J.regression_metrics(linear_test(s, d)),
+    "best_test_model": lambda s, d: J.best_model(J.regression_metrics(linear_test(s, d))),
+    "r2_matrix": lambda s, d: K.metric_matrix(J.regression_metrics(linear_test(s, d)), ["linear_TI_MAIN", "linear_VV"]),
     "feature_importances": importances,
     "panel_availability": lambda s, d: J.panel_availability(panel(s, d)),
     "best_model": lambda s, d: J.best_model(J.regression_metrics(crude(s, d))),
@@ -132,6 +161,8 @@ def _lonlat():
       SELECT *, asin(sin(xi1) / cosh(eta1)) AS chi FROM (SELECT *, {xi1} AS xi1, {eta1} AS eta1 FROM (SELECT *, utm_y / {num(a)} AS xi, (utm_x - 500000) / {num(a)} AS eta FROM stations)))"""
 
 
+_LINE = """SELECT 'NO2' AS target, 'linear_{f}' AS model, {g} time_key, sensor_id, position, label AS actual, y + slope * ({f} - x) AS predicted FROM {src}
+  JOIN (SELECT {g} coalesce(CASE WHEN var_pop({f}) > 0 THEN regr_slope(label, {f}) END, 0) AS slope, avg(label) AS y, avg({f}) AS x FROM {src} WHERE {role} = 'train' {by}) AS fit {on} WHERE {role} <> 'train'"""
 CTES = {
     **TEMPORAL, **net.CTES,
     "pan": "SELECT date_trunc('day', entry_date) AS time_key, sensor_id, magnitude_name, avg(value) AS value FROM hourly GROUP BY ALL",
@@ -140,6 +171,10 @@ CTES = {
     "mrows": """SELECT * FROM (SELECT time_key, sensor_id, TI_MAIN, VV, hour, weekday, month, year, NO2 AS label, count(*) OVER () AS n_rows FROM wide WHERE TI_MAIN IS NOT NULL AND VV IS NOT NULL AND NO2 IS NOT NULL) WHERE n_rows >= 50""",
     "spl": """SELECT *, CASE WHEN position < floor(n_rows * 0.8::DOUBLE) THEN 'train' ELSE 'test' END AS split FROM (SELECT *, row_number() OVER (ORDER BY time_key, sensor_id) - 1 AS position FROM mrows)""",
     "cru": "SELECT 'NO2' AS target, 'vv' AS model, position, label AS actual, VV AS predicted FROM spl UNION ALL SELECT 'NO2', 'ti', position, label, TI_MAIN FROM spl",
+    "folds": """SELECT *, CASE WHEN position < f0 THEN 'train' ELSE 'validation' END AS role FROM (SELECT *, n - (5 - fold) * (n // 6) AS f0 FROM (
+      SELECT *, count(*) OVER () AS n FROM spl WHERE split = 'train') CROSS JOIN (SELECT unnest(range(5)) AS fold)) WHERE position < f0 + n // 6""",
+    "lin_f": " UNION ALL ".join(_LINE.format(f=f, src="folds", g="fold,", on="USING (fold)", by="GROUP BY fold", role="role") for f in ("VV", "TI_MAIN")),
+    "lin_t": " UNION ALL ".join(_LINE.format(f=f, src="spl", g="", on="ON true", by="", role="split") for f in ("VV", "TI_MAIN")),
     "lonlat": _lonlat(),
 }
 
@@ -153,6 +188,7 @@ def _metrics(src, split_name, by="target, model"):
       round_even(avg(abs(actual - predicted)), 4) AS mae, count(*) AS n_samples FROM {src} GROUP BY {by}"""
 
 
+_FOLDS = _metrics("lin_f", "'validation'", "target, model, fold").replace("SELECT target, model,", "SELECT target, model, fold,")
 _AVAIL_COLS = ["time_key", "sensor_id", *NAMES, "hour", "weekday", "month", "year"]
 _CAL = "hour weekday month year"
 _PAN = "NO2 NOX O3 TI_MAIN VV"
@@ -174,6 +210,12 @@ CHECKS = {
     "regression_metrics": _c(_metrics("cru", "'test'"), d="r2 rmse mae"),
     "cv_summary": _c(f"""SELECT target, model, avg(r2) AS mean_r2, stddev_samp(r2) AS std_r2, avg(rmse) AS mean_rmse, avg(mae) AS mean_mae FROM ({_metrics('cru', 'position % 4', 'target, model, position % 4')}) GROUP BY 1, 2""",
       d="mean_r2 std_r2 mean_rmse mean_mae"),
+    "fold_predictions": _c("SELECT * FROM lin_f", d="actual predicted", i="sensor_id position fold", t="time_key"),
+    "cross_validation": _c(f"SELECT * FROM ({_FOLDS})", d="r2 rmse mae", i="fold"),
+    "cross_validation_summary": _c(f"SELECT target, model, avg(r2) AS mean_r2, stddev_samp(r2) AS std_r2, avg(rmse) AS mean_rmse, avg(mae) AS mean_mae FROM ({_FOLDS}) GROUP BY 1, 2", d="mean_r2 std_r2 mean_rmse mean_mae"),
+    "test_metrics": _c(_metrics("lin_t", "'test'"), d="r2 rmse mae"),
+    "best_test_model": _c(f"SELECT * FROM ({_metrics('lin_t', chr(39) + 'test' + chr(39))}) ORDER BY r2 DESC, model LIMIT 1", d="r2 rmse mae"),
+    "r2_matrix": _c(f"SELECT target, max(r2) FILTER (WHERE model = 'linear_TI_MAIN') AS linear_TI_MAIN, max(r2) FILTER (WHERE model = 'linear_VV') AS linear_VV FROM ({_metrics('lin_t', chr(39) + 'test' + chr(39))}) GROUP BY 1", d="linear_TI_MAIN linear_VV"),
     "panel_availability": _c(" UNION ALL ".join(f"""SELECT '{c}' AS "column", count({c}) AS non_null, round_even(1 - count({c}) / count(*)::DOUBLE, 4) AS null_rate FROM wide""" for c in _AVAIL_COLS), d="null_rate"),
     "best_model": _c(f"SELECT * FROM ({_metrics('cru', chr(39) + 'test' + chr(39))}) ORDER BY r2 DESC, model LIMIT 1", d="r2 rmse mae"),
     "top_interpolated": _c("""SELECT magnitude_name, avg(CAST(is_interpolated AS INTEGER)) AS interpolation_rate, count(*) FILTER (WHERE is_interpolated) AS interpolated_rows, count(is_interpolated) AS known_flag_rows, count(*) AS total_rows
@@ -181,6 +223,10 @@ CHECKS = {
     "top_pollutant_profiles": _c("SELECT magnitude_name, year, avg(mean_value) AS mean_value FROM cyc_y WHERE magnitude_name IN (SELECT magnitude_name FROM cyc_y GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 4) GROUP BY 1, 2", d="mean_value", i="year"),
     "sensor_map": _c("""SELECT c.*, mean_no2 FROM (SELECT sensor_id, sensor_name, avg(utm_x) AS utm_x, avg(utm_y) AS utm_y FROM daily WHERE utm_x IS NOT NULL GROUP BY 1, 2) c
       LEFT JOIN (SELECT sensor_id, avg(value) AS mean_no2 FROM daily WHERE magnitude_name = 'NO2' GROUP BY 1) n ON c.sensor_id = n.sensor_id""", d="utm_x utm_y mean_no2", i="sensor_id"),
+    "network_comparison": _c("""SELECT 'spatial' AS network, graph_name, n_nodes, n_edges, density, average_degree FROM sp_sel UNION ALL SELECT 'correlation', graph_name, n_nodes, n_edges, density, average_degree FROM (SELECT * FROM (
+      SELECT *, list_position(['NO2', 'NOX', 'NO'], upper(magnitude)) AS o FROM co_s) WHERE o IS NOT NULL ORDER BY o, round(abs(threshold - 0.70::DOUBLE), 12), threshold LIMIT 1)""", d="density average_degree", i="n_nodes n_edges"),
+    "node_radius": _c("""SELECT sensor_id, sensor_name, least(1200, greatest(300, 300 + 1000 * coalesce(betweenness_centrality, 0)))::DOUBLE AS radius FROM stations LEFT JOIN (SELECT * FROM btw WHERE graph_name = 'knn_k3') b ON b.id = sensor_id""", d="radius", i="sensor_id"),
+    "graph_stats_lookup": _c("SELECT * FROM sp_s WHERE graph_name = 'knn_k2'", d=net._SUM, i=net._COUNTS + " threshold_m k"),
     "imputation_comparison": impute_sql("SELECT series, avg(x) AS mean FROM tall GROUP BY 1", d="mean"),
     "metric_matrix": _c(f"SELECT target, max(r2) FILTER (WHERE model = 'ti') AS ti, max(r2) FILTER (WHERE model = 'vv') AS vv FROM ({_metrics('cru', chr(39) + 'test' + chr(39))}) GROUP BY 1", d="ti vv"),
     "utm_to_lonlat": _c("SELECT * FROM lonlat", d="utm_x utm_y lon lat", i="sensor_id"),
