@@ -204,7 +204,19 @@ def _between(state: DataFrame, fits) -> DataFrame:
     return out.join(other, (F.col("value") == F.col("at")) & (F.col("label") != F.col("other")) & fits("n", "m") & least).select("item", "n", "leader", "m")
 
 
-def link_components(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80, k: int = K, leader_rounds: tuple = (3, 2)):
+def _joined(links: DataFrame, labels: DataFrame) -> DataFrame:
+    """(item, label) after new ``links`` (a, b): only components that they join are contracted."""
+    if labels is None:
+        return contract_components(links, "a", "b").select(F.col("id").alias("item"), "label")
+    ends = links.select(F.explode(F.array("a", "b")).alias("item")).distinct().join(labels, "item", "left_anti").withColumn("label", F.col("item"))
+    known = labels.unionByName(ends)
+    side = lambda c: known.select(F.col("item").alias(c), F.col("label").alias(f"_{c}"))
+    joins = links.join(side("a"), "a").join(side("b"), "b").filter("_a <> _b")
+    moved = contract_components(joins, "_a", "_b").select(F.col("id").alias("label"), F.col("label").alias("_to"))
+    return known.join(moved, "label", "left").select("item", F.coalesce("_to", "label").alias("label"))
+
+
+def link_components(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80, k: int = K, leader_rounds: tuple = (2, 1)):
     """(rows, members): per row of ``docs`` (doc_id, n, digest), and (digest, component_id, first) of all texts with words; ``first`` marks one text per component."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "neardup")
@@ -220,13 +232,13 @@ def link_components(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80,
     found = docs.select("doc_id", "text").join(wanted.select(F.col("rep").alias("doc_id"), F.col("digest").alias("_want"), "item", "sketch"), "doc_id")
     texts = found.withColumn("_got", digest("text")).filter("_got = _want").dropDuplicates(["item"]).select("item", "sketch", "text")
     known = scratch.bucketed("known", texts, int(spark.conf.get("spark.sql.shuffle.partitions")), "item")
-    links, labels, tried = None, None, None
+    labels, tried = None, None
 
     def fits(n, m):
         return (F.col(n) >= F.col(m) * (t - 1e-9)) & (F.col(m) >= F.col(n) * (t - 1e-9))
 
     def compare(proposed):
-        nonlocal links, labels, tried
+        nonlocal labels, tried
         pairs = proposed.filter(fits("n", "m")).select(F.least("item", "leader").alias("a"), F.greatest("item", "leader").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
@@ -235,10 +247,10 @@ def link_components(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80,
             return
         good = _confirmed(scratch, pairs, known, threshold_pct, shingle, k)
         tried = pairs if tried is None else tried.unionAll(pairs)
-        links = good if links is None else links.unionAll(good)
-        previous = labels
-        labels = scratch.put("labels", contract_components(links, "a", "b").select(F.col("id").alias("item"), "label"))
-        scratch.drop(previous)
+        if not good.isEmpty():
+            previous, labels = labels, scratch.put("labels", _joined(good, labels))
+            scratch.drop(previous)
+        scratch.drop(good)
 
     def turns(number):
         for turn in range(number):
