@@ -1,10 +1,12 @@
 """Cycles, trends and seasonality of pollutants."""
 
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from stationlens.functions.columns import normal_cdf, pearson, ratio
 from stationlens.functions.quantiles import attach_scalar, summarize
+from stationlens.functions.ranks import median_slope, sign_sum
 
 SENSOR = ["magnitude_name", "sensor_id", "sensor_name"]
 
@@ -92,55 +94,36 @@ def trend_stability(slopes: DataFrame, **opts) -> DataFrame:
     return out.select("magnitude_name", "mean_station_slope", "median_station_slope", "std_station_slope", "min_station_slope", "max_station_slope", "n_sensors")
 
 
-def _series(overall):
-    """One row per pollutant with its months in order: at most one value per calendar month."""
-    pairs = F.sort_array(F.collect_list(F.struct("month", "mean_across_sensors")))
-    return overall.filter(F.col("mean_across_sensors").isNotNull()).groupBy("magnitude_name").agg(
-        F.transform(pairs, lambda p: p["mean_across_sensors"]).alias("x")
-    ).withColumn("n", F.size("x"))
+_TREND_SCHEMA = "magnitude_name string, n int, s bigint, slope double"
 
 
-def _sorted_slopes():
-    """Slopes between all months of one series, ascending."""
-    x = F.col("x")
-    per_end = F.transform(
-        F.sequence(F.lit(1), F.col("n") - 1),
-        lambda j: F.transform(F.sequence(F.lit(0), j - 1), lambda i: (F.get(x, j) - F.get(x, i)) / (j - i)),
-    )
-    return F.array_sort(F.flatten(per_end))
+def _rank_trend(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Mann-Kendall S and Theil-Sen slope of one series of calendar months."""
+    x = pdf.sort_values(["month", "mean_across_sensors"])["mean_across_sensors"].to_numpy(float)
+    return pd.DataFrame({"magnitude_name": [pdf["magnitude_name"].iloc[0]], "n": [len(x)], "s": [sign_sum(x, 1e-9)], "slope": [median_slope(x)]})
 
 
-def _middle(sorted_array):
-    size = F.size(sorted_array)
-    low, high = F.floor((size - 1) / 2).cast("int"), F.floor(size / 2).cast("int")
-    return (F.get(sorted_array, low) + F.get(sorted_array, high)) / 2
+def _trends(overall, min_months):
+    """(magnitude_name, n, s, slope) of the series with enough months: n log n work, no table of month pairs."""
+    known = overall.filter(F.col("mean_across_sensors").isNotNull()).select("magnitude_name", "month", "mean_across_sensors")
+    return known.groupBy("magnitude_name").applyInPandas(_rank_trend, _TREND_SCHEMA).filter(F.col("n") >= min_months)
 
 
 def theil_sen(overall: DataFrame, min_months: int = 8) -> DataFrame:
     """Median slope per month over all pairs of months."""
-    return (
-        _series(overall).filter(F.col("n") >= min_months).withColumn("_slopes", _sorted_slopes())
-        .select("magnitude_name", F.bround(_middle(F.col("_slopes")), 6).alias("theil_sen_slope_per_month"), F.col("n").alias("n_months"))
-    )
+    return _trends(overall, min_months).select("magnitude_name", F.bround("slope", 6).alias("theil_sen_slope_per_month"), F.col("n").alias("n_months"))
 
 
 def mann_kendall(overall: DataFrame, min_months: int = 8) -> DataFrame:
     """Mann-Kendall trend test (no tie correction) and Theil-Sen slope of the city-wide series.
 
     Means are sums of floating-point numbers in no fixed order, so months that differ by less
-    than 1e-9 count as equal; otherwise the statistic would change from run to run.
+    than 1e-9 (after rounding to it) count as equal; otherwise the statistic would change from
+    run to run.
     """
-    x, n = F.col("x"), F.col("n").cast("double")
-    rises = F.aggregate(
-        F.sequence(F.lit(1), F.col("n") - 1),
-        F.lit(0).cast("long"),
-        lambda total, j: total + F.aggregate(
-            F.slice(x, F.lit(1), j), F.lit(0).cast("long"), lambda t, xi: t + F.signum(F.round(F.get(x, j) - xi, 9)).cast("long")
-        ),
-    )
-    tested = _series(overall).filter(F.col("n") >= min_months).withColumn("s", rises).withColumn("_slopes", _sorted_slopes())
+    n = F.col("n").cast("double")
     spread = F.sqrt(n * (n - 1) * (2 * n + 5) / 18)
-    tested = tested.withColumns(
+    tested = _trends(overall, min_months).withColumns(
         {"z": (F.col("s") - F.signum(F.col("s").cast("double"))) / spread, "tau": F.col("s") / (0.5 * n * (n - 1))}
     ).withColumn("p", 2 * (1 - normal_cdf(F.abs("z"))))
     return tested.select(
@@ -148,7 +131,7 @@ def mann_kendall(overall: DataFrame, min_months: int = 8) -> DataFrame:
         F.bround("tau", 4).alias("mk_tau"), F.bround("z", 4).alias("mk_z"), F.bround("p", 4).alias("mk_p_value"),
         (F.col("p") < 0.05).alias("mk_significant"),
         F.when(F.col("tau") < 0, "decreasing").when(F.col("tau") > 0, "increasing").otherwise("no trend").alias("trend_direction"),
-        F.bround(_middle(F.col("_slopes")), 6).alias("theil_sen_slope_per_month"),
+        F.bround("slope", 6).alias("theil_sen_slope_per_month"),
         F.col("n").alias("n_months"),
     ).orderBy("mk_tau", "magnitude_name")
 

@@ -131,6 +131,8 @@ QUERIES = {
     "top_features_by_model": lambda s, d: J.top_features_by_model(importances(s, d)),
     "top_interpolated": lambda s, d: K.top_interpolated(P.interpolation_by(daily(s, d), "magnitude_name")),
     "top_pollutant_profiles": lambda s, d: K.top_pollutant_profiles(T.yearly_trends(tem.subset(s, d)), "year", 4),
+    "top_pollutant_hours": lambda s, d: K.top_pollutant_profiles(T.hourly_cycle(tem.subset(s, d)), "hour", 3),
+    "top_pollutant_seasons": lambda s, d: K.top_pollutant_profiles(T.seasonal_cycle(tem.subset(s, d)), "month", 3),
     "sensor_map": lambda s, d: K.sensor_map(daily(s, d)),
     "network_comparison": lambda s, d: K.network_comparison(net.selected(s, d), net.summary(s, d, "correlation")),
     "imputation_comparison": lambda s, d: K.imputation_comparison(I.distribution_summary(imputed(s, d))),
@@ -221,6 +223,8 @@ CHECKS = {
     "top_interpolated": _c("""SELECT magnitude_name, avg(CAST(is_interpolated AS INTEGER)) AS interpolation_rate, count(*) FILTER (WHERE is_interpolated) AS interpolated_rows, count(is_interpolated) AS known_flag_rows, count(*) AS total_rows
       FROM daily GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10""", d="interpolation_rate"),
     "top_pollutant_profiles": _c("SELECT magnitude_name, year, avg(mean_value) AS mean_value FROM cyc_y WHERE magnitude_name IN (SELECT magnitude_name FROM cyc_y GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 4) GROUP BY 1, 2", d="mean_value", i="year"),
+    "top_pollutant_hours": _c("SELECT magnitude_name, hour, avg(mean_value) AS mean_value FROM cyc_h WHERE magnitude_name IN (SELECT magnitude_name FROM cyc_h GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3) GROUP BY 1, 2", d="mean_value", i="hour"),
+    "top_pollutant_seasons": _c("SELECT magnitude_name, month, avg(mean_value) AS mean_value FROM cyc_m WHERE magnitude_name IN (SELECT magnitude_name FROM cyc_m GROUP BY 1 ORDER BY count(*) DESC, 1 LIMIT 3) GROUP BY 1, 2", d="mean_value", i="month"),
     "sensor_map": _c("""SELECT c.*, mean_no2 FROM (SELECT sensor_id, sensor_name, avg(utm_x) AS utm_x, avg(utm_y) AS utm_y FROM daily WHERE utm_x IS NOT NULL GROUP BY 1, 2) c
       LEFT JOIN (SELECT sensor_id, avg(value) AS mean_no2 FROM daily WHERE magnitude_name = 'NO2' GROUP BY 1) n ON c.sensor_id = n.sensor_id""", d="utm_x utm_y mean_no2", i="sensor_id"),
     "network_comparison": _c("""SELECT 'spatial' AS network, graph_name, n_nodes, n_edges, density, average_degree FROM sp_sel UNION ALL SELECT 'correlation', graph_name, n_nodes, n_edges, density, average_degree FROM (SELECT * FROM (

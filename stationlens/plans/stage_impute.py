@@ -45,6 +45,7 @@ QUERIES = {
     "central_range": lambda s, d: I.central_range(imputed(s, d)),
     "box_stats": lambda s, d: I.box_stats(comparison(s, d)),
     "method_mae_bias": lambda s, d: I.method_mae_bias(I.imputation_error_summary(comparison(s, d))),
+    "method_mae_by_type": lambda s, d: I.method_mae_by_type(I.imputation_errors_by_type(comparison(s, d))),
 }
 QUERIES = {k: (lambda s, d, f=f: present(f(s, d))) for k, f in QUERIES.items()}
 
@@ -118,4 +119,6 @@ CHECKS = {
       FROM q JOIN b ON q.method = b.method GROUP BY ALL""", d="q1 median q3 whisker_low whisker_high"),
     "method_mae_bias": _c("""SELECT method, method_label, avg(abs(e)) AS mae, avg(e) AS bias, row_number() OVER (ORDER BY avg(abs(e)), method) = 1 AS is_best
       FROM errors GROUP BY 1, 2""", d="mae bias"),
+    "method_mae_by_type": _c("""SELECT variable_type, method, method_label, avg(abs(e)) AS mae, avg(e) AS bias, row_number() OVER (PARTITION BY variable_type ORDER BY avg(abs(e)), method) = 1 AS is_best
+      FROM errors GROUP BY 1, 2, 3""", d="mae bias"),
 }

@@ -1,8 +1,9 @@
 """Reading and writing readings and result tables."""
 
 import os
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
@@ -39,21 +40,31 @@ def write_cleaned(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").parquet(path)
 
 
-def write_partitioned(df: DataFrame, path: str, by=("year", "sensor_id"), only_if_absent: bool = False,
-                      max_records_per_file: int = 5_000_000, split: int = 1) -> None:
-    """A dataset partitioned by year and sensor.
+def balanced(df: DataFrame, by, rows_per_task: int, max_broadcast: int = 200_000) -> DataFrame:
+    """``df`` dealt to tasks of about ``rows_per_task`` rows each, ordered by folder.
 
-    Rows are gathered by partition before writing, so each folder gets few files. ``split``
-    spreads one folder over that many tasks where a single (year, sensor) is very large.
+    Rows per folder are counted first. Folders lie one behind the other on a line of row
+    positions, a row takes a position inside its folder by its hash, and a stretch of
+    ``rows_per_task`` positions is a task: a large folder is cut into several, small ones share
+    one. Rows equal in all columns have one position. The count table has a row per folder; it
+    is broadcast up to ``max_broadcast`` of them and joined by shuffle beyond.
     """
-    keys = [F.col(c) for c in by]
-    if split > 1:
-        keys.append(F.pmod(F.xxhash64("magnitude_name", "entry_date"), F.lit(split)))
-    (
-        df.repartition(*keys).write.partitionBy(*by)
-        .option("maxRecordsPerFile", max_records_per_file)
-        .mode("ignore" if only_if_absent else "overwrite").parquet(path)
-    )
+    keys, names = list(by), [f"_by{i}" for i in range(len(by))]
+    counts = df.groupBy(*[F.col(k).alias(n) for k, n in zip(keys, names)]).agg(F.count(F.lit(1)).alias("_rows"))
+    total = counts.agg(F.count(F.lit(1)).alias("folders"), F.coalesce(F.sum("_rows"), F.lit(0)).alias("rows")).first()
+    before = F.coalesce(F.sum("_rows").over(Window.orderBy(*names).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    line = counts.withColumn("_before", before)  # a row per folder
+    if total.folders <= max_broadcast:
+        line = F.broadcast(line)
+    on = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(n)) for k, n in zip(keys, names)])
+    place = F.col("_before") + F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in df.columns]), F.col("_rows"))
+    dealt = df.join(line, on).withColumn("_task", F.floor(place / rows_per_task).cast("int"))
+    return dealt.repartitionById(max(1, -(-total.rows // rows_per_task)), F.col("_task")).select(*[F.col(f"`{c}`") for c in df.columns])
+
+
+def write_partitioned(df: DataFrame, path: str, by=("year", "sensor_id"), only_if_absent: bool = False, rows_per_task: int = 5_000_000) -> None:
+    """A dataset partitioned by year and sensor, written by tasks of about ``rows_per_task`` rows (see ``balanced``)."""
+    balanced(df, by, rows_per_task).write.partitionBy(*by).mode("ignore" if only_if_absent else "overwrite").parquet(path)
 
 
 def scan_pruned(spark: SparkSession, path: str, year: int, sensor_id: int) -> DataFrame:
@@ -86,6 +97,6 @@ def write_result(df: DataFrame, root: str, stage: str, name: str, fmt: str = "pa
     return path
 
 
-def write_cell_matrices(pairs: DataFrame, path: str) -> None:
+def write_cell_matrices(pairs: DataFrame, path: str, rows_per_task: int = 5_000_000) -> None:
     """Correlations of each (year, sensor) cell as a long pair table in one folder per cell."""
-    pairs.repartition("year", "sensor_id").write.mode("overwrite").partitionBy("year", "sensor_id").parquet(path)
+    write_partitioned(pairs, path, ("year", "sensor_id"), rows_per_task=rows_per_task)
