@@ -3,13 +3,19 @@
 Chosen and rejected conversations are compared turn by turn; their longest common prefix is
 rendered once as the prompt, and what follows becomes two completions. The loss mask is 1 on the
 assistant's turns of a completion and 0 on all else. The output has one row per rendered turn, so
-no conversation is ever gathered into one row or task; ``digest`` sums such rows per pair.
+no conversation is ever gathered into one row or task; ``assemble`` joins the turns of
+conversations known to fit a row.
+
+Pairs are rows (pair_id, side, turn, role, text). ``exchanged`` makes them from one table of
+conversations: a conversation is chosen, and rejected where its last assistant turn has the text of
+its neighbour's; ``paired`` takes two whole conversations.
 
 Defined cases: turns are in the order of ``turn``; rows that repeat (conv_id, turn) count once,
 the smallest (role, text) of them; rows with a null conv_id or turn belong to no conversation; a
 null role is ``user`` and a null text is empty; equal conversations have a prompt and no
-completion; a conversation without a partner is no pair. Marks inside a text are broken up, so
-that a text cannot open or close a turn.
+completion; a conversation without a partner, or where one of the two has no assistant turn, is no
+pair; an exchanged conversation ends with the exchanged turn. Texts of any length pass whole.
+Marks inside a text are broken up, so that a text cannot open or close a turn.
 """
 
 from pyspark.sql import Column, DataFrame, Window
@@ -39,7 +45,7 @@ def pair_up(turns: DataFrame, shared_turns: bool = False) -> DataFrame:
     """
     if not shared_turns:
         ids = turns.select("conv_id").distinct()
-        slots = ids.groupBy(F.floor(F.col("conv_id") / 2).alias("pair_id")).agg(F.min("conv_id").alias("chosen"), F.max("conv_id").alias("rejected"))
+        slots = ids.groupBy(F.shiftright("conv_id", 1).alias("pair_id")).agg(F.min("conv_id").alias("chosen"), F.max("conv_id").alias("rejected"))
         return slots.filter("chosen <> rejected")
     first = turns.groupBy("conv_id").agg(F.min(F.struct("turn", "role", "text")).alias("f"))
     keyed = first.select("conv_id", F.sha2(F.concat_ws("|", "f.role", "f.text"), 256).alias("k"), F.pmod(F.xxhash64("conv_id"), F.lit(SALTS)).alias("salt"))
@@ -55,12 +61,33 @@ def _neighbours(rows, keys):
     return n.filter("_i % 2 = 0 and _next is not null").select(F.col("conv_id").alias("chosen"), F.col("_next").alias("rejected"))
 
 
-def format_preferences(turns: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(pair_id, part, turn, role, segment, mask); part is prompt, chosen or rejected."""
-    both = pairs.select("pair_id", F.explode(F.array(F.struct(F.lit("chosen").alias("side"), F.col("chosen").alias("conv_id")), F.struct(F.lit("rejected").alias("side"), F.col("rejected").alias("conv_id")))).alias("s")).select("pair_id", "s.*")
-    said = both.join(turns, "conv_id")
+def paired(turns: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The turns of both sides of ``pairs`` (pair_id, chosen, rejected)."""
+    sides = F.array(*[F.struct(F.lit(s).alias("side"), F.col(s).alias("conv_id")) for s in ("chosen", "rejected")])
+    both = pairs.select("pair_id", F.explode(sides).alias("s")).select("pair_id", "s.*")
+    return both.join(turns, "conv_id").select("pair_id", "side", "turn", "role", "text")
+
+
+def exchanged(turns: DataFrame) -> DataFrame:
+    """Both sides of each conversation against itself with its last assistant turn exchanged.
+
+    The text comes from the last assistant turn of the neighbour by id (2k and 2k + 1), the
+    pair_id is the conversation's id. Only that one turn moves between conversations.
+    """
+    last = turns.filter("role = 'assistant'").groupBy("conv_id").agg(F.max("turn").alias("_last"))
+    answers = turns.join(last.select("conv_id", F.col("_last").alias("turn")), ["conv_id", "turn"])
+    other = answers.select(F.col("conv_id").bitwiseXOR(F.lit(1)).alias("conv_id"), F.col("text").alias("_other"))
+    swap = last.join(other, "conv_id")
+    told = turns.join(swap, "conv_id").filter("turn <= _last")
+    text = F.when((F.col("side") == "rejected") & (F.col("turn") == F.col("_last")), F.col("_other")).otherwise(F.col("text"))
+    sides = F.explode(F.array(F.lit("chosen"), F.lit("rejected")))
+    return told.withColumn("side", sides).select(F.col("conv_id").alias("pair_id"), "side", "turn", "role", text.alias("text"))
+
+
+def format_preferences(said: DataFrame) -> DataFrame:
+    """(pair_id, part, turn, role, segment, mask) of the turns of both sides; part is prompt, chosen or rejected."""
     mark = F.struct("role", "text")
-    by_turn = said.groupBy("pair_id", "turn").agg(F.count(F.lit(1)).alias("_n"), F.min(mark).alias("_a"), F.max(mark).alias("_b"))
+    by_turn = said.groupBy("pair_id", "turn").agg(F.count(F.lit(1)).alias("_n"), F.min(F.md5(F.to_json(mark))).alias("_a"), F.max(F.md5(F.to_json(mark))).alias("_b"))
     cut = by_turn.groupBy("pair_id").agg(F.min(F.when((F.col("_n") < 2) | (F.col("_a") != F.col("_b")), F.col("turn"))).alias("_cut"))
     parts = said.join(cut, "pair_id")
     shared = F.col("_cut").isNull() | (F.col("turn") < F.col("_cut"))
@@ -70,19 +97,6 @@ def format_preferences(turns: DataFrame, pairs: DataFrame) -> DataFrame:
     return parts.select("pair_id", part.alias("part"), "turn", "role", render(F.col("role"), F.col("text")).alias("segment"), mask.alias("mask"))
 
 
-def digest(segments: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Turns, characters and trained characters of each part, and an order-free check of the text, per pair."""
-    size = F.length("segment").cast("long")
-    check = F.conv(F.substring(F.md5(F.concat(F.col("turn").cast("string"), F.lit("|"), "segment")), 1, 8), 16, 10).cast("long")
-
-    def per(part, value, name):
-        return F.coalesce(F.sum(F.when(F.col("part") == part, value)), F.lit(0)).cast("long").alias(name)
-
-    aggs = [per(p, v, f"{p}_{n}") for p in ("prompt", "chosen", "rejected") for v, n in ((F.lit(1), "turns"), (size, "chars"), (check, "check"))]
-    aggs += [per(p, size * F.col("mask"), f"{p}_trained_chars") for p in ("chosen", "rejected")]
-    return pairs.join(segments.groupBy("pair_id").agg(*aggs), "pair_id")
-
-
 def assemble(segments: DataFrame) -> DataFrame:
     """(pair_id, prompt, chosen, rejected) as texts, for conversations known to fit a row."""
     text = segments.groupBy("pair_id", "part").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("turn", "segment"))), lambda s: s["segment"]), "").alias("t"))
@@ -90,22 +104,15 @@ def assemble(segments: DataFrame) -> DataFrame:
 
 
 def preference_sql() -> str:
-    """The digest of pairs by id in DuckDB's SQL."""
-    parts = []
-    for p in ("prompt", "chosen", "rejected"):
-        for v, n in (("1", "turns"), ("length(segment)", "chars"), ("chk", "check")):
-            parts.append(f"CAST(coalesce(sum(CASE WHEN part = '{p}' THEN {v} END), 0) AS BIGINT) AS {p}_{n}")
-        if p != "prompt":
-            parts.append(f"CAST(coalesce(sum(CASE WHEN part = '{p}' THEN length(segment) * mask END), 0) AS BIGINT) AS {p}_trained_chars")
-    return f"""WITH t AS (SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
+    """The segments of the exchanged pairs in DuckDB's SQL."""
+    return """WITH t AS (SELECT conv_id, turn, coalesce(role, 'user') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL AND turn IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY conv_id, turn ORDER BY coalesce(role, 'user'), coalesce(text, '')) = 1),
-p AS (SELECT CAST(floor(conv_id / 2) AS BIGINT) AS pair_id, min(conv_id) AS chosen, max(conv_id) AS rejected FROM t GROUP BY 1 HAVING min(conv_id) <> max(conv_id)),
-c AS (SELECT pair_id, turn, role, text FROM p JOIN t ON conv_id = chosen), r AS (SELECT pair_id, turn, role, text FROM p JOIN t ON conv_id = rejected),
-cut AS (SELECT pair_id, min(turn) AS cut FROM (SELECT coalesce(c.pair_id, r.pair_id) AS pair_id, coalesce(c.turn, r.turn) AS turn FROM c FULL JOIN r ON c.pair_id = r.pair_id AND c.turn = r.turn
-  WHERE c.turn IS NULL OR r.turn IS NULL OR c.role <> r.role OR c.text <> r.text) GROUP BY 1),
+a AS (SELECT conv_id, turn, text FROM t WHERE role = 'assistant' QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn DESC) = 1),
+p AS (SELECT a.conv_id AS pair_id, a.turn AS last, b.text AS other FROM a JOIN a b ON b.conv_id = xor(a.conv_id, 1)),
+c AS (SELECT pair_id, turn, role, text FROM p JOIN t ON conv_id = pair_id AND turn <= last),
+r AS (SELECT pair_id, turn, role, CASE WHEN turn = last THEN other ELSE text END AS text FROM p JOIN t ON conv_id = pair_id AND turn <= last),
+cut AS (SELECT pair_id, min(turn) AS cut FROM c JOIN r USING (pair_id, turn) WHERE c.role <> r.role OR c.text <> r.text GROUP BY 1),
 s AS (SELECT c.*, CASE WHEN cut IS NULL OR turn < cut THEN 'prompt' ELSE 'chosen' END AS part FROM c LEFT JOIN cut USING (pair_id)
-  UNION ALL SELECT r.*, 'rejected' FROM r JOIN cut USING (pair_id) WHERE turn >= cut),
-g AS (SELECT pair_id, part, turn, CASE WHEN part <> 'prompt' AND role = 'assistant' THEN 1 ELSE 0 END AS mask,
-  '<|' || replace(replace(role, '<|', ''), '|>', '') || '|>' || chr(10) || replace(replace(text, '<|', '< |'), '|>', '| >') || chr(10) || '<|end|>' || chr(10) AS segment FROM s),
-h AS (SELECT *, CAST('0x' || substr(md5(turn || '|' || segment), 1, 8) AS BIGINT) AS chk FROM g)
-SELECT p.pair_id, p.chosen, p.rejected, {", ".join(parts)} FROM p JOIN h USING (pair_id) GROUP BY ALL"""
+  UNION ALL SELECT r.*, 'rejected' FROM r JOIN cut USING (pair_id) WHERE turn >= cut)
+SELECT pair_id, part, turn, role, CAST(CASE WHEN part <> 'prompt' AND role = 'assistant' THEN 1 ELSE 0 END AS INTEGER) AS mask,
+  '<|' || replace(replace(role, '<|', ''), '|>', '') || '|>' || chr(10) || replace(replace(text, '<|', '< |'), '|>', '| >') || chr(10) || '<|end|>' || chr(10) AS segment FROM s"""

@@ -50,8 +50,7 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_chat_preferences(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = preference.clean_turns(_table(spark, sf_dir, "conversations"))
-    pairs = preference.pair_up(turns)
-    return preference.digest(preference.format_preferences(turns, pairs), pairs)
+    return preference.format_preferences(preference.exchanged(turns))
 
 
 def op10_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -5,7 +5,7 @@ its shard is the last jump below the number of shards. No ring table is needed,
 shard takes rows only into itself. The generator here is xxhash64 of the key and the step, so a
 row's shard follows from its key and the shard count alone.
 
-Defined cases: a null key is a key of its own; repeated rows get the same shard and different
+Defined cases: keys are taken as text; a null key is the empty text; repeated rows get the same shard and different
 slots; a null text has size 1.
 """
 
@@ -16,18 +16,34 @@ TWO_31 = 1 << 31
 BUCKETS = 1024
 
 
-def jump_shard(key: Column, shards: int) -> Column:
-    """The shard of ``key`` among ``shards``; each step jumps ahead, so ``shards`` steps always suffice."""
+def jump_shards(key: Column, shards: int, room: int = None) -> Column:
+    """Struct (shard, grown): the shard of ``key`` among ``shards`` and among one more, from one walk.
+
+    A walk makes about ln(shards) jumps. It gets ``room`` for several times as many; the few keys
+    that need more go on in a second fold that is long enough for all, and that no other key pays for.
+    """
+    text = F.coalesce(key.cast("string"), F.lit(""))  # ids of any integer type are alike; null is an empty key
 
     def step(state, i):
-        r = F.shiftrightunsigned(F.xxhash64(key, i), 33) + F.lit(1)
+        r = F.shiftrightunsigned(F.xxhash64(text, i), 33) + F.lit(1)
         ahead = ((state["j"] + 1) * F.lit(TWO_31) / r).cast("long")
-        moving = state["j"] < F.lit(shards)
-        return F.struct(F.when(moving, state["j"]).otherwise(state["b"]).alias("b"), F.when(moving, ahead).otherwise(state["j"]).alias("j"))
+        return F.struct(
+            F.when(state["j"] < shards, state["j"]).otherwise(state["b"]).alias("b"),
+            F.when(state["j"] <= shards, state["j"]).otherwise(state["g"]).alias("g"),
+            F.when(state["j"] <= shards, ahead).otherwise(state["j"]).alias("j"),
+        )
 
-    start = F.struct(F.lit(-1).cast("long").alias("b"), F.lit(0).cast("long").alias("j"))
-    walk = F.aggregate(F.sequence(F.lit(0), F.lit(shards)), start, step)
-    return walk["b"].cast("int")
+    room = min(shards + 1, room or 8 + 4 * shards.bit_length())
+    start = F.struct(*[F.lit(v).cast("long").alias(n) for n, v in (("b", -1), ("g", -1), ("j", 0))])
+    walk = F.aggregate(F.sequence(F.lit(0), F.lit(room - 1)), start, step)
+    if room <= shards:
+        rest = F.aggregate(F.sequence(F.lit(room), F.lit(shards)), walk, step)
+        walk = F.when(walk["j"] <= shards, rest).otherwise(walk)
+    return F.struct(walk["b"].cast("int").alias("shard"), walk["g"].cast("int").alias("grown"))
+
+
+def jump_shard(key: Column, shards: int) -> Column:
+    return jump_shards(key, shards)["shard"]
 
 
 def with_slots(rows: DataFrame, shard: str, spread: list, slot: str = "slot", buckets: int = BUCKETS) -> DataFrame:
@@ -60,12 +76,13 @@ def shard_documents(docs: DataFrame, shards: int = 16, key: str = "doc_id", text
     if shards < 1:
         raise ValueError("shards must be at least 1")
     k = F.col(key)
+    walk = jump_shards(k, shards)
     rows = docs.select(
         k.alias("doc_id"),
         (F.coalesce(F.octet_length(text), F.lit(0)) + 1).cast("long").alias("size"),
         F.crc32(F.coalesce(F.col(text), F.lit("")).cast("binary")).alias("text_crc32"),
         F.lit("key").alias("law"),
-        jump_shard(k, shards).alias("shard"),
-        jump_shard(k, shards + 1).alias("grown_shard"),
+        walk["shard"].alias("shard"),
+        walk["grown"].alias("grown_shard"),
     )
     return with_slots(rows, "shard", ["doc_id", "text_crc32", "size"]).select("doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
