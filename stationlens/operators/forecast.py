@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from stationlens import schema as S
 from stationlens.functions.columns import is_pollutant, is_traffic, ratio, upper_name
 from stationlens.functions.quantiles import attach_scalar
+from stationlens.session import checkpointed
 
 TIME_FEATURES = ["hour", "weekday", "month", "year"]
 MIN_MODEL_ROWS = 50
@@ -142,7 +143,9 @@ def fit_and_predict(train: DataFrame, test: DataFrame, features, target: str, mo
     """(predictions, importances) of one model; scaler and model see training rows only."""
     train, test = assemble(train, features), assemble(test, features)
     scaler = standardize(train)
-    fitted = MODELS[model](scaler.transform(train).cache(), **params)
+    scaled = scaler.transform(train).cache()  # read once a tree level, only while fitting
+    fitted = MODELS[model](scaled, **params)
+    scaled.unpersist()
     predicted = fitted.transform(scaler.transform(test)).select(
         F.lit(target).alias("target"), F.lit(model).alias("model"), "time_key", "sensor_id", F.col("label").alias("actual"), F.col("prediction").alias("predicted")
     )
@@ -234,13 +237,13 @@ def top_features_by_model(importances: DataFrame, n: int = 15) -> DataFrame:
 
 def run_models(df: DataFrame, targets=None, models=("random_forest", "gradient_boosting"), aggregate="daily", params=None, cv: int = 0):
     """Panel, test metrics, fold metrics, importances and predictions for all targets and models."""
-    panel = build_panel(df, aggregate).cache()
+    panel = checkpointed(build_panel(df, aggregate))
     features, params = feature_columns(panel.columns), params or {}
     names = {c.upper(): c for c in panel.columns}
     chosen = [r.target for r in resolve_targets(df, targets).collect()]  # the few target names
     predictions, importances, folds = [], [], []
     for target in [t for t in chosen if t in names]:
-        split = chronological_split(model_rows(panel, names[target])).cache()
+        split = checkpointed(chronological_split(model_rows(panel, names[target])))
         if split.isEmpty():
             continue
         for model in models:

@@ -17,6 +17,7 @@ from stationlens.plans.stage_impute import imputed
 from stationlens.plans.stage_load import daily, hourly
 from stationlens.plans.stage_temporal import CTES as TEMPORAL
 from stationlens.plans.store import stored
+from stationlens.session import checkpointed
 
 NAMES = ["NO2", "NOX", "O3", "TI_MAIN", "VV"]
 # Fewer and shallower trees than the defaults, given as parameters.
@@ -37,7 +38,7 @@ def split(s, d):
 def model(name):
     """Importances of one model for one target, written once."""
     def build(s, d):
-        rows = split(s, d).cache()
+        rows = checkpointed(split(s, d))
         return J.fit_and_predict(rows.filter("split = 'train'"), rows.filter("split = 'test'"), J.feature_columns(panel(s, d).columns), "NO2", name, **PARAMS[name])
     return lambda s, d: stored(s, d, f"importances_{name}", lambda s, d: build(s, d)[1])
 

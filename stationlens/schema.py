@@ -27,6 +27,7 @@ TRAFFIC_PREFIXES = ["TI_", "SP_", "OC_"]
 PREFERRED_TRAFFIC_PREFIX = "TI_"
 # Temperature and wind direction may be handled apart: temperature may be negative and
 # direction has its own range check.
+# The lists below must match the variables' names.
 NON_NEGATIVE_WEATHER = ["VV", "HR", "PRE", "RS", "PRECIPITACION"]
 DENSITY_FOCUS = ["NO2", "NOX", "NO", "O3", "CO", "SO2", "<PM10", "<PM2.5"]
 POLLUTION_PRIORITY = ["NO2", "NOX", "NO"]
