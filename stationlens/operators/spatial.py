@@ -52,20 +52,27 @@ def pairwise_distances(coords: DataFrame, blocks: int = 16) -> DataFrame:
     return pairs.select(*_pair_columns()).orderBy("distance_m", "sensor_id_1", "sensor_id_2")
 
 
-def pairs_within(coords: DataFrame, radius: float, spread: int = 4) -> DataFrame:
+def pairs_within(coords: DataFrame, radius: float, per_key: int = 1000) -> DataFrame:
     """Pairs of stations no further apart than ``radius``, by an equi-join on grid cells.
 
-    ``spread`` splits a crowded cell over that many join keys.
+    Cells are counted first. One with more than ``per_key`` stations is split over as many join
+    keys as it needs, and only stations around it are copied to each of them.
     """
     cell = lambda c: F.floor(F.col(c) / radius)
-    left = _side(coords, 1).withColumns({"_cx": cell("utm_x_1"), "_cy": cell("utm_y_1"), "_s": F.pmod(F.xxhash64("sensor_id_1"), F.lit(spread)).cast("int")})
+    left = _side(coords, 1).withColumns({"_cx": cell("utm_x_1"), "_cy": cell("utm_y_1")})
+    crowded = (
+        left.groupBy("_cx", "_cy").agg(F.ceil(F.count(F.lit(1)) / per_key).cast("int").alias("_parts")).filter("_parts > 1")
+    )
+    crowded = F.broadcast(crowded)  # fewer rows than stations / per_key
+    parts = F.coalesce("_parts", F.lit(1))
+    split = left.join(crowded, ["_cx", "_cy"], "left").withColumn("_s", F.pmod(F.xxhash64("sensor_id_1"), parts).cast("int")).drop("_parts")
     around = F.explode(F.sequence(F.lit(-1), F.lit(1)))
     right = (
         _side(coords, 2).withColumn("_dx", around).withColumn("_dy", around)
-        .withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(spread - 1))))
         .withColumns({"_cx": cell("utm_x_2") + F.col("_dx"), "_cy": cell("utm_y_2") + F.col("_dy")})
+        .join(crowded, ["_cx", "_cy"], "left").withColumn("_s", F.explode(F.sequence(F.lit(0), parts - 1))).drop("_parts")
     )
-    return left.join(right, ["_cx", "_cy", "_s"]).filter("sensor_id_1 < sensor_id_2").select(*_pair_columns()).filter(F.col("distance_m") <= radius)
+    return split.join(right, ["_cx", "_cy", "_s"]).filter("sensor_id_1 < sensor_id_2").select(*_pair_columns()).filter(F.col("distance_m") <= radius)
 
 
 def distance_quantiles(distances: DataFrame, probs=(0.10, 0.25, 0.50, 0.75), **opts) -> DataFrame:
