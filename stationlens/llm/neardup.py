@@ -74,7 +74,8 @@ def sketcher(shingle: int, k: int = K):
 @F.arrow_udf(returnType=BinaryType())
 def digest(text: pa.Array) -> pa.Array:
     """The item digest alone."""
-    return pa.array([hashlib.blake2b(b" ".join(t.encode().lower().split()), digest_size=16).digest() if t and t.strip(" \t\n\x0b\x0c\r") else None for t in text.to_pylist()], pa.binary())
+    texts = (t.as_py() for t in text)
+    return pa.array([hashlib.blake2b(b" ".join(t.encode().lower().split()), digest_size=16).digest() if t and t.strip(" \t\n\x0b\x0c\r") else None for t in texts], pa.binary())
 
 
 @F.arrow_udf(returnType=DoubleType())
@@ -103,7 +104,8 @@ def overlap(shingle: int):
     @F.arrow_udf(returnType="both long, either long")
     def measure(a: pa.Array, b: pa.Array) -> pa.Array:
         both, either, last = [], [], (None, None)
-        for x, y in zip(a.to_pylist(), b.to_pylist()):
+        for x, y in zip(a, b):  # one pair's texts at a time
+            x, y = x.as_py(), y.as_py()
             if last[0] != x:
                 last = (x, shingles(x))
             s, t = last[1], shingles(y)
@@ -134,21 +136,29 @@ def whole_set(shingle: int):
 
 
 def _listed(rows: DataFrame) -> DataFrame:
-    """(value, item, n): of each item's rows (item, n, p, m, value) the ``p`` rarest of its ``m`` values, ties by value.
+    """(value, item, n, df, pos): of each item's rows (item, n, p, m, value) the ``p`` rarest of its ``m`` values, ties by value.
 
     A value of one item proposes nothing, but it still fills a place among the rarest: an item has
-    as many of those as rows are lost in the join with the values of several.
+    as many of those as rows are lost in the join with the values of several. ``pos`` is the place
+    of the value among all of the item's, rarest first and from 1.
     """
     often = rows.groupBy("value").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
     shared = rows.join(often, "value").groupBy("item", "n", "p", "m").agg(F.array_sort(F.collect_list(F.struct("df", "value"))).alias("v"))
-    free = F.col("p") - (F.col("m") - F.size("v"))
-    return shared.filter(free > 0).withColumn("free", free).select("item", "n", F.explode(F.expr("slice(v, 1, free)")).alias("v")).select("v.value", "item", "n")
+    alone = F.col("m") - F.size("v")
+    cut = shared.withColumn("alone", alone).withColumn("free", F.col("p") - alone).filter("free > 0")
+    listed = cut.select("item", "n", "alone", F.posexplode(F.expr("slice(v, 1, free)")).alias("at", "v"))
+    return listed.select("v.value", "item", "n", "v.df", (F.col("alone") + F.col("at") + 1).alias("pos"))
 
 
-def _once(lists: DataFrame) -> DataFrame:
-    """One list of each set of members (told apart by 128 bits of their hashes), without lists of one."""
-    marks = lists.groupBy("value").agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(7))).alias("y")).filter("c > 1")
-    return lists.join(marks.groupBy("c", "x", "y").agg(F.min("value").alias("value")).select("value"), "value")
+def _once(lists: DataFrame, *order: str) -> DataFrame:
+    """One list of each set of members (told apart by 128 bits of their hashes), without lists of one.
+
+    The list that stays is the first by ``order``, columns that a list's rows share, then by value.
+    """
+    order = (*order, "value")
+    marks = lists.groupBy(*order).agg(F.count(F.lit(1)).alias("c"), F.bit_xor(F.xxhash64("item")).alias("x"), F.bit_xor(F.xxhash64("item", F.lit(7))).alias("y")).filter("c > 1")
+    first = marks.groupBy("c", "x", "y").agg(F.min(F.struct(*order)).alias("o"))
+    return lists.join(first.select(F.col("o.value").alias("value")), "value")
 
 
 def _sketch_rows(items: DataFrame, t: float, k: int) -> DataFrame:
@@ -180,8 +190,8 @@ def _confirmed(scratch, pairs, known, threshold_pct, shingle, k):
 
 
 def _mixed(scratch, lists: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members (value, item, n, label) of the lists that still hold more than one component."""
-    state = lists.withColumn("label", F.col("item")) if labels is None else lists.join(labels, "item", "left").select("value", "item", "n", F.coalesce("label", "item").alias("label"))
+    """Rows of ``lists`` with their ``label``, of those that still hold more than one component."""
+    state = lists.withColumn("label", F.col("item")) if labels is None else lists.join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
     mixed = state.groupBy("value").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).filter("lo <> hi").select("value")
     return scratch.put("mixed", state.join(mixed, "value"))
 
@@ -193,15 +203,25 @@ def _outside(state: DataFrame, turn: int) -> DataFrame:
     return state.join(top, "value").filter("label <> main")
 
 
-def _between(state: DataFrame, fits) -> DataFrame:
-    """(item, n, leader, m): pairs of different components that share a list, each from the list of their least common value."""
-    values = state.groupBy("item").agg(F.array_sort(F.collect_list("value")).alias("own"))  # at most the listed values of one text
-    rows = state.join(values, "item")
-    other = rows.select(F.col("value").alias("at"), F.col("item").alias("leader"), F.col("n").alias("m"), F.col("label").alias("other"), F.col("own").alias("theirs"))
-    out = _outside(state, 0).drop("leader", "m").join(values, "item")
-    least = F.array_min(F.array_intersect("own", "theirs")) == F.col("value")
-    # A pair of two outsiders is met from both sides; the distinct pairs are taken later.
-    return out.join(other, (F.col("value") == F.col("at")) & (F.col("label") != F.col("other")) & fits("n", "m") & least).select("item", "n", "leader", "m")
+def _between(state: DataFrame, t: float) -> DataFrame:
+    """(item, n, leader, m): all pairs of different components that share a list and can still be similar.
+
+    Of two sets of n <= m values the overlap must reach t / (1 + t) * (n + m). Values are in one
+    order for all sets, so a pair's first common value leaves at most the values behind it, in
+    either set, to be common too. A pair is met in the list of its first common value alone, and
+    only if that bound is reached there; the smaller set must have the value among its first ones.
+    """
+    need = lambda n, m: F.ceil(F.lit(t / (1 + t)) * (n + m) - F.lit(1e-6))
+    mark = F.struct("df", "value")
+    values = state.groupBy("item").agg(F.array_sort(F.collect_list(mark)).alias("own"))  # at most the listed values of one text
+    rows = state.select("value", mark.alias("v"), "item", "n", "pos", "label").join(values, "item")
+    front = rows.filter(1 + F.col("n") - F.col("pos") >= need(F.col("n"), F.col("n")))
+    other = rows.select(F.col("value").alias("at"), F.col("item").alias("leader"), F.col("n").alias("m"), F.col("pos").alias("there"), F.col("label").alias("other"), F.col("own").alias("theirs"))
+    larger = (F.col("n") < F.col("m")) | ((F.col("n") == F.col("m")) & (F.col("item") < F.col("leader")))
+    left = 1 + F.least(F.col("n") - F.col("pos"), F.col("m") - F.col("there"))
+    first = F.array_min(F.array_intersect("own", "theirs")) == F.col("v")
+    on = (F.col("value") == F.col("at")) & (F.col("label") != F.col("other")) & larger & (left >= need(F.col("n"), F.col("m"))) & first
+    return front.join(other, on).select("item", "n", "leader", "m")
 
 
 def _joined(links: DataFrame, labels: DataFrame) -> DataFrame:
@@ -264,10 +284,10 @@ def link_components(docs: DataFrame, shingle: int = 5, threshold_pct: int = 80,
     scratch.drop(mixed, lists)
     if not open_items.isEmpty():
         # What is open still meets by whole sets: similar texts share one of their rarest shingles.
-        lists = scratch.put("whole", _once(_listed(_whole_rows(known.join(open_items, "item", "left_semi"), t, shingle))))
+        lists = scratch.put("whole", _once(_listed(_whole_rows(known.join(open_items, "item", "left_semi"), t, shingle)), "df"))
         turns(leader_rounds[1])
         mixed = _mixed(scratch, lists, labels)
-        compare(_between(mixed, fits))
+        compare(_between(mixed, t))
         scratch.drop(mixed)
     members = items.select("digest", "item", "rep")
     grouped = members.withColumn("label", F.col("item")) if labels is None else members.join(labels, "item", "left").withColumn("label", F.coalesce("label", "item"))
