@@ -35,14 +35,19 @@ BLOCK_WORDS = 1_000_000
 MATCH, MISMATCH, GAP = 2, -1, -1
 HITS = "array<struct<item: int, score: double, start: int, end: int>>"
 BLOOM = 1 << 22
+SIGNS = re.compile(r"[\W_]+")
+ASCII_SIGNS = bytes(c for c in range(128) if not chr(c).isalnum())
 
 
 def plain_words(data, off):
     """(hash of each word, its text's first word), signs removed and empty words left out."""
     w = W.split_words(data, off)
-    shape = [re.sub(r"[\W_]+", "", v.decode("utf-8", "replace").lower()).encode() for v in w.vocab.to_pylist()]
-    hashes = W.word_hashes(pa.array(shape, pa.large_binary()))[w.codes] if len(shape) else np.zeros(0, np.uint64)
-    there = np.fromiter((len(s) > 0 for s in shape), bool, len(shape))[w.codes] if len(shape) else np.zeros(0, bool)
+    # ASCII words are in lower case here; their signs go without decoding.
+    shape = [v.translate(None, ASCII_SIGNS) if v.isascii() else SIGNS.sub("", v.decode("utf-8", "replace").lower()).encode() for v in w.vocab.to_pylist()]
+    hashes = W.hashes_of(shape)[w.codes] if len(shape) else np.zeros(0, np.uint64)
+    there = np.fromiter(map(bool, shape), bool, len(shape))[w.codes] if len(shape) else np.zeros(0, bool)
+    if there.all():
+        return hashes, w.starts
     starts = np.concatenate([[0], np.cumsum(there)])[w.starts]
     return hashes[there], starts
 

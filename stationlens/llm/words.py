@@ -104,8 +104,12 @@ def _encoded(body, offsets, starts):
     return Words(coded.indices.to_numpy(zero_copy_only=False).astype(np.int64), coded.dictionary, starts)
 
 
+def hashes_of(words: list) -> np.ndarray:
+    return np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
+
+
 def word_hashes(vocab: pa.Array) -> np.ndarray:
-    return np.fromiter((xxhash.xxh3_64_intdigest(w) for w in vocab.to_pylist()), np.uint64, len(vocab))
+    return hashes_of(vocab.to_pylist())
 
 
 def owners(starts: np.ndarray) -> np.ndarray:
