@@ -12,8 +12,9 @@ block's own subwords are scored, so windows overlap and every subword is scored
 evaluated in batches under a causal mask.
 
 What all texts are measured against, the counts of training words, covers all training rows and
-never leaves Spark as a whole: the ``HEAD`` most frequent words of up to 64 bytes go to the tasks,
-all other words meet their counts in a join.
+never leaves Spark as a whole: at most ``HEAD`` of the most frequent words of up to 64 bytes go to
+the tasks, all other words meet their counts in a join. The attention head learns from all blocks of
+all training rows, in each task from its own, and is the mean over the tasks.
 
 Defined cases: null and empty texts consist of the end alone; without training rows every count
 is 0 and the model knows nothing; rows that repeat an id are scored on their own.
@@ -123,8 +124,8 @@ def subword_counts(counts: DataFrame, folder: str = FOLDER) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(live, pa.int32()), pa.array(total[live])], ["i", "n"])
 
     out = np.zeros(len(coder(folder)[1]), np.int64)
-    for r in counts.filter("length(word) > 0").mapInArrow(tally, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).collect():
-        out[r.i] = r.n
+    found = counts.filter("length(word) > 0").mapInArrow(tally, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
+    out[found.column("i").to_numpy()] = found.column("n").to_numpy()
     return out
 
 
@@ -159,7 +160,8 @@ def common_prefixes(counts: DataFrame, folder: str = FOLDER) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int64()), pa.array(list(total.values()), pa.int64())], ["h", "n"])
 
     sums = counts.filter("length(word) > 0").mapInArrow(tally, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
-    return np.sort(np.array([r.h for r in sums.orderBy(F.desc("n"), "h").limit(ROWS - SIZE).collect()], np.int64).view(np.uint64))
+    # As Arrow, because a collected top list would bring one from each partition to the driver.
+    return np.sort(sums.orderBy(F.desc("n"), "h").limit(ROWS - SIZE).toArrow().column("h").to_numpy().astype(np.int64).view(np.uint64))
 
 
 def rows_of(ids: np.ndarray, at: np.ndarray, places: np.ndarray, prefixes: np.ndarray) -> np.ndarray:
@@ -194,8 +196,10 @@ def transitions(counts: DataFrame, places: np.ndarray, prefixes: np.ndarray, fol
         yield pa.RecordBatch.from_arrays([pa.array(list(total), pa.int32()), pa.array(list(total.values()), pa.int64())], ["i", "n"])
 
     out = np.zeros(ROWS * SIZE, np.float32)
-    found = counts.filter("length(word) > 0").mapInArrow(tally, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")).toArrow()
-    out[found.column("i").to_numpy()] = found.column("n").to_numpy()
+    sums = checkpointed(counts.filter("length(word) > 0").mapInArrow(tally, "i int, n long").groupBy("i").agg(F.sum("n").alias("n")))
+    for low in range(0, ROWS * SIZE, SIZE * SIZE):  # a part of the rows at a time
+        found = sums.filter((F.col("i") >= low) & (F.col("i") < low + SIZE * SIZE)).toArrow()
+        out[found.column("i").to_numpy()] = found.column("n").to_numpy()
     return out.reshape(ROWS, SIZE)[:SIZE].astype(float), out.reshape(ROWS, SIZE)
 
 
@@ -267,9 +271,12 @@ class Attention:
         self.q, self.k, self.v = ((r.standard_normal((D, D)) / np.sqrt(D)).astype(f) for _ in range(3))
         self.group, self.member = np.zeros((2 * D, GROUPS), f), np.zeros((GROUPS, 2 * D, GROUPS), f)
         both = bias.reshape(len(bias), GROUPS, GROUPS)
-        top = both.max(2, keepdims=True)
-        self.bias_group = (top[..., 0] + np.log(np.exp(both - top).sum(2))).astype(f)
-        self.bias_member = (both - self.bias_group[..., None]).astype(f)
+        self.bias_group, self.bias_member = np.empty(both.shape[:2], f), np.empty(both.shape, f)
+        for s in range(0, len(both), SIZE):  # a part of the rows at a time
+            part = both[s : s + SIZE]
+            top = part.max(2, keepdims=True)
+            self.bias_group[s : s + SIZE] = top[..., 0] + np.log(np.exp(part - top).sum(2))
+            self.bias_member[s : s + SIZE] = part - self.bias_group[s : s + SIZE, :, None]
 
     NAMES = ("emb", "pos", "q", "k", "v", "group", "member")
 
@@ -302,17 +309,19 @@ class Attention:
     def train_step(self, x, prior, keep, then, row=None):
         """Loss and gradients over blocks; ``then`` is PAD where nothing follows, ``row`` the rows of statistics (by default those of ``x``)."""
         (here, both, q, k, v, a), states = self.attend(x, prior, keep)
-        live = (then != PAD) & (x != PAD)
-        h, now, t = states[live], (x if row is None else row)[live], then[live]
-        n = len(t)
-        gr = t // GROUPS
+        at = np.flatnonzero((then != PAD) & (x != PAD))
+        at = at[np.argsort((then.ravel()[at] // GROUPS).astype(np.int16), kind="stable")]  # by group
+        h, now, t = states.reshape(-1, 2 * D)[at], (x if row is None else row).ravel()[at], then.ravel()[at]
+        n, gr, rows = len(t), t // GROUPS, np.arange(len(t))
+        cut = np.searchsorted(gr, np.arange(GROUPS + 1))
         g = h @ self.group + self.bias_group[now]
         g = np.exp(g - g.max(1, keepdims=True))
         g /= g.sum(1, keepdims=True)
-        m = self.bias_member[now, gr] + np.einsum("nd,ndk->nk", h, self.member[gr])
+        m = self.bias_member[now, gr]
+        for c in range(GROUPS):
+            m[cut[c] : cut[c + 1]] += h[cut[c] : cut[c + 1]] @ self.member[c]
         m = np.exp(m - m.max(1, keepdims=True))
         m /= m.sum(1, keepdims=True)
-        rows = np.arange(n)
         loss = -(np.log(g[rows, gr]) + np.log(m[rows, t % GROUPS])).mean()
         g[rows, gr] -= 1
         m[rows, t % GROUPS] -= 1
@@ -321,42 +330,69 @@ class Attention:
         grad = {"group": h.T @ g, "member": np.zeros_like(self.member)}
         dh = g @ self.group.T
         for c in range(GROUPS):
-            r = np.flatnonzero(gr == c)
-            if len(r):
-                grad["member"][c] = h[r].T @ m[r]
-                dh[r] += m[r] @ self.member[c].T
+            r = slice(cut[c], cut[c + 1])
+            grad["member"][c] = h[r].T @ m[r]
+            dh[r] += m[r] @ self.member[c].T
         ds = np.zeros_like(states)
-        ds[live] = dh
+        ds.reshape(-1, 2 * D)[at] = dh
         dhere, dctx = ds[..., :D].copy(), ds[..., D:]
         da = dctx @ v.transpose(0, 2, 1)
         dv = a.transpose(0, 2, 1) @ dctx
         dl = a * (da - (da * a).sum(2, keepdims=True)) / np.float32(np.sqrt(D))
         dq, dk = dl @ k, dl.transpose(0, 2, 1) @ q
-        grad["q"] = np.einsum("bid,bie->de", here, dq)
-        grad["k"], grad["v"] = np.einsum("bid,bie->de", both, dk), np.einsum("bid,bie->de", both, dv)
+        over = lambda one, other: one.reshape(-1, D).T @ other.reshape(-1, D)
+        grad["q"], grad["k"], grad["v"] = over(here, dq), over(both, dk), over(both, dv)
         dhere += dq @ self.q.T
         dboth = dk @ self.k.T + dv @ self.v.T
         dboth[:, BLOCK:] += dhere
         grad["pos"] = dboth.sum(0)
-        grad["emb"] = np.zeros_like(self.emb)
-        np.add.at(grad["emb"], np.concatenate([prior, x], 1), dboth * np.concatenate([np.repeat(keep[:, None], BLOCK, 1), np.ones((len(x), BLOCK), bool)], 1)[..., None])
+        dboth[~keep, :BLOCK] = 0
+        who = np.concatenate([prior, x], 1).ravel()
+        grad["emb"] = np.stack([np.bincount(who, dboth[..., d].ravel(), SIZE + 1) for d in range(D)], 1).astype(np.float32)
         return loss, grad
 
-    def fit(self, x, prior, keep, then, row=None, steps=150, batch=256, rate=0.01, seed=2):
-        """Adam over random blocks."""
+    def learn(self, parts, visits=102_400, batch=256, rate=0.01, seed=2):
+        """Adam over all blocks of ``parts`` (tuples now, prior, keep, then, row); the number of blocks.
+
+        Every block is visited once, in random order inside its part. If there are fewer than
+        ``visits`` of them, visits go on at random until that many.
+        """
         r = np.random.default_rng(seed)
-        mean, square = ({n: np.zeros_like(getattr(self, n)) for n in self.NAMES} for _ in range(2))
-        losses = []
-        for step in range(1, steps + 1):
-            b = r.integers(0, len(x), min(batch, len(x)))
-            loss, grad = self.train_step(x[b], prior[b], keep[b], then[b], None if row is None else row[b])
-            losses.append(loss)
-            for n in self.NAMES:
-                mean[n] = 0.9 * mean[n] + 0.1 * grad[n]
-                square[n] = 0.99 * square[n] + 0.01 * grad[n] ** 2
+        state = {n: (np.zeros_like(getattr(self, n)), np.zeros_like(getattr(self, n))) for n in self.NAMES}
+        step, total, held = 0, 0, []
+
+        def visit(part, b):
+            nonlocal step
+            step += 1
+            for n, g in self.train_step(*(x[b] for x in part))[1].items():
+                mean, square = state[n]
+                mean += 0.1 * (g - mean)
+                square += 0.01 * (g * g - square)
                 p = getattr(self, n)
-                p -= (rate * (1 - step / (steps + 1)) * (mean[n] / (1 - 0.9**step)) / (np.sqrt(square[n] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
-        return losses
+                p -= (rate / (1 + step / 200) / (1 - 0.9**step) * mean / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+
+        for part in parts:
+            order = r.permutation(len(part[0]))
+            if total < visits:
+                held.append(tuple(x[order[: visits - total]] for x in part))
+            total += len(order)
+            for s in range(0, len(order), batch):
+                visit(part, order[s : s + batch])
+        if 0 < total < visits:
+            every = tuple(np.concatenate(x) for x in zip(*held))
+            for _ in range(-(-(visits - total) // batch)):
+                visit(every, r.integers(0, total, min(batch, total)))
+        return total
+
+    def weights(self):
+        """All trained parameters in one row."""
+        return np.concatenate([getattr(self, n).ravel() for n in self.NAMES])
+
+    def set_weights(self, flat):
+        for n in self.NAMES:
+            p = getattr(self, n)
+            p[...] = flat[: p.size].reshape(p.shape)
+            flat = flat[p.size :]
 
 
 def blocks(places, lengths, rows=None):
@@ -402,8 +438,42 @@ def text_places(data, off, places, folder, shares, prefixes):
     return w, out, rows, length, W.sums((own[at[1:]] - own[at[:-1]])[w.codes], w.starts)
 
 
-def fit_model(docs: DataFrame, counts: DataFrame, n_texts: int, max_docs: int = 1000, max_chars: int = 8_000, steps: int = 400, folder: str = FOLDER):
-    """(model, places, shares, prefixes): statistics from all ``counts``, the attention head from at most ``max_docs`` short texts.
+def train_head(model: Attention, docs: DataFrame, n_blocks: int, places, shares, prefixes, visits: int = 102_400, folder: str = FOLDER) -> None:
+    """Train the attention head on all rows of ``docs``, in parallel.
+
+    Each task starts from the same parameters and learns from all blocks of its rows; the mean of
+    the tasks' parameters, weighted by their blocks, is the head. There are as many tasks as get
+    ``visits`` blocks each, so small tables have one.
+    """
+    sent = docs.sparkSession.sparkContext.broadcast((model, places, shares, prefixes))
+
+    def learn(batches):
+        model, places, shares, prefixes = sent.value
+        own = Attention.__new__(Attention)
+        own.__dict__.update({k: v.copy() if k in Attention.NAMES else v for k, v in model.__dict__.items()})
+
+        def parts():
+            for batch in batches:
+                for data, off in W.slices(batch.column(0)):
+                    _, p, r, length, _ = text_places(data, off, places, folder, shares, prefixes)
+                    now, prior, keep, then, _, row = blocks(p, length, r)
+                    yield now, prior, keep, then, row
+
+        n = own.learn(parts(), visits)
+        if n:
+            yield pa.RecordBatch.from_arrays([pa.array(np.arange(own.weights().size + 1), pa.int32()), pa.array(np.append(own.weights().astype(float), 1.0) * n)], ["i", "s"])
+
+    tasks = max(1, n_blocks // visits)
+    rows = docs.select("text").filter(F.length("text") > 0).coalesce(tasks)
+    found = rows.mapInArrow(learn, "i int, s double").groupBy("i").agg(F.sum("s").alias("s")).toArrow()
+    if found.num_rows:
+        sums = np.zeros(found.num_rows)
+        sums[found.column("i").to_numpy()] = found.column("s").to_numpy()
+        model.set_weights((sums[:-1] / sums[-1]).astype(np.float32))
+
+
+def fit_model(docs: DataFrame, counts: DataFrame, n_texts: int, visits: int = 102_400, folder: str = FOLDER):
+    """(model, places, shares, prefixes): statistics from all ``counts``, the attention head from all rows of ``docs``.
 
     ``shares`` has per subword id the log of its share of its place: 0 but for those in ``OTHER``.
     """
@@ -418,24 +488,31 @@ def fit_model(docs: DataFrame, counts: DataFrame, n_texts: int, max_docs: int =
     prefixes = common_prefixes(counts, folder)
     moves, deep = transitions(counts, places, prefixes, folder)
     model = Attention(next_log_probs(moves, n_texts, deep, last_places(counts, places, prefixes, folder)))
-    rows = docs.select("doc_id", "text").filter((F.length("text") <= max_chars) & (F.length("text") > 0)).orderBy(F.xxhash64("doc_id"), "doc_id", "text").limit(max_docs).collect()
-    if rows:
-        data, off = W.text_bytes(pa.array([r.text for r in rows], pa.string()))
-        _, p, r, length, _ = text_places(data, off, places, folder, shares, prefixes)
-        now, prior, keep, then, _, row = blocks(p, length, r)
-        model.fit(now, prior, keep, then, row, steps)
+    train_head(model, docs, int(often.sum()) // BLOCK, places, shares, prefixes, visits, folder)
     return model, places, shares, prefixes
 
 
+def frequent_words(counts: DataFrame, most: int = HEAD):
+    """(words, counts): the most frequent words of up to ``HEAD_BYTES`` bytes, at most ``most``; all words of a count are in or out."""
+    short = counts.filter(F.length("word") <= HEAD_BYTES)
+    # One row per number of occurrences.
+    sizes = short.groupBy("c").agg(F.count(F.lit(1)).alias("n")).toArrow()
+    c, n = sizes.column("c").to_numpy(), sizes.column("n").to_numpy()
+    order = np.argsort(-c)
+    fits = c[order][np.cumsum(n[order]) <= most]
+    if not len(fits):
+        return pa.array([], pa.large_binary()), np.zeros(0, np.int64)
+    head = short.filter(F.col("c") >= int(fits[-1])).toArrow()
+    return head.column("word").cast(pa.large_binary()).combine_chunks(), head.column("c").to_numpy()
+
+
 def score(docs: DataFrame, divisor: int = 10, folder: str = FOLDER, **fit) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) of every row."""
     held = W.held_out("doc_id", divisor)
     train = docs.filter(~held)
     counts = checkpointed(count_words(train))
     total, distinct, ends = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.max(F.when(F.length("word") == 0, F.col("c"))), F.lit(0))).first()
-    head = counts.filter(F.length("word") <= HEAD_BYTES).orderBy(F.desc("c"), "word").limit(HEAD).collect()
-    head = sorted((bytes(r.word), r.c) for r in head)
-    names, values = pa.array([k for k, _ in head], pa.large_binary()), np.array([c for _, c in head], np.int64)
+    names, values = frequent_words(counts)
     model, places, shares, prefixes = fit_model(train, counts, ends, folder=folder, **fit)
     sent = docs.sparkSession.sparkContext.broadcast((names, values, model, places, shares, prefixes))
 
