@@ -376,6 +376,8 @@ class Attention:
             if total < visits:
                 held.append(tuple(x[order[: visits - total]] for x in part))
             total += len(order)
+            if total >= visits:
+                held.clear()
             for s in range(0, len(order), batch):
                 visit(part, order[s : s + batch])
         if 0 < total < visits:
@@ -402,8 +404,8 @@ def blocks(places, lengths, rows=None):
     """
     n = -(-lengths // BLOCK)
     first = np.cumsum(n) - n
-    now = np.full(int(n.sum()) * BLOCK, PAD)
-    then = np.full(len(now), PAD)
+    now = np.full(int(n.sum()) * BLOCK, PAD, np.int16)  # places and rows are below 2^15
+    then = np.full(len(now), PAD, np.int16)
     at = spread(lengths, first * BLOCK)
     then[at] = places
     now[first * BLOCK] = END

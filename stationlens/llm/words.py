@@ -82,7 +82,7 @@ def split_words(data: np.ndarray, off: np.ndarray, lower: bool = True) -> Words:
     start[first] = solid[first]
     at = np.flatnonzero(start)
     kept = LOWER[data[solid]] if lower else data[solid]
-    index = np.cumsum(solid, dtype=np.int64)
+    index = np.cumsum(solid, dtype=np.int32 if solid.size < 1 << 31 else np.int64)
     return _encoded(kept, np.append(index[at] - 1, kept.size), np.searchsorted(at, off))
 
 
